@@ -149,7 +149,9 @@ def derived_metrics(
         return lambda: get(name) / F.lit(unit)
 
     def since_update() -> Column:
-        return F.greatest(record_time() - get("LastUpdate"), F.lit(0.0)) / F.lit(3600.0)
+        # greatest() ignores nulls, so a missing update has to stay missing
+        elapsed = record_time() - get("LastUpdate")
+        return F.when(elapsed.isNotNull(), F.greatest(elapsed, F.lit(0.0)) / F.lit(3600.0))
 
     def count() -> Column:
         return F.coalesce(get("Events"), F.lit(0.0))
