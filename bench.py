@@ -14,7 +14,7 @@ from poolscope.operators import select
 from poolscope.operators.documents import build_documents
 from poolscope.plans.queries import QUERIES
 from poolscope.session import build_session
-from poolscope.sources.samples import LAUNCH_TIME, sample_ads
+from poolscope.sources.samples import LAUNCH_TIME, ads_of, sample_base
 
 HEADLINE = """
 job_status_docs exit_code_summary core_hour_metrics site_locality campaign_workflow crab_ids post_job_states
@@ -57,8 +57,9 @@ def main() -> None:
 
     rates = {}
     for source, maps in (("events", True), ("lineitem", False)):
-        # each thread gets a share of the records, like the splits of a large table
-        ads = select.monitored(sample_ads(spark, sf_dir, source, maps=maps)).repartition(int(cpus))
+        # each thread gets a share of the observations, like the splits of a large table
+        base = sample_base(spark, sf_dir, source).repartition(int(cpus))
+        ads = select.monitored(ads_of(base, maps=maps))
         docs = build_documents(ads, LAUNCH_TIME)
         count = docs.count()
         seconds = timed(lambda: sink(docs))

@@ -35,21 +35,26 @@ def malformed_site_key(stats: Column) -> Column:
 
 
 def site_io(stats: Column) -> Column:
-    """Per-site reads that have both volume and time, ordered by site; NULL when there are none."""
+    """Per-site reads that have both volume and time, ordered by site (an empty list for none)."""
+    value = lambda base, kind: F.try_element_at(stats, F.concat(base, F.lit(kind)))
     bases = F.array_distinct(F.transform(F.filter(F.map_keys(stats), _is_site_key), _base))
-    reads = F.transform(
+    complete = F.filter(
         bases,
-        lambda base: F.struct(
-            F.regexp_extract(F.concat(base, F.lit("_ReadBytes")), _SITE_KEY, 2).alias("SiteName"),
-            F.btrim(
-                F.regexp_extract(F.concat(base, F.lit("_ReadBytes")), _SITE_KEY, 1), F.lit("_")
-            ).alias("ChirpString"),
-            F.try_element_at(stats, F.concat(base, F.lit("_ReadBytes"))).alias("ReadBytes"),
-            F.try_element_at(stats, F.concat(base, F.lit("_ReadTimeMS"))).alias("ReadTimeMS"),
+        lambda b: value(b, "_ReadBytes").isNotNull() & value(b, "_ReadTimeMS").isNotNull(),
+    )
+    part = lambda base, group: F.regexp_extract(
+        F.concat(base, F.lit("_ReadBytes")), _SITE_KEY, group
+    )
+    reads = F.transform(
+        complete,
+        lambda b: F.struct(
+            part(b, 2).alias("SiteName"),
+            F.btrim(part(b, 1), F.lit("_")).alias("ChirpString"),
+            value(b, "_ReadBytes").alias("ReadBytes"),
+            value(b, "_ReadTimeMS").alias("ReadTimeMS"),
         ),
     )
-    complete = F.filter(reads, lambda r: r["ReadBytes"].isNotNull() & r["ReadTimeMS"].isNotNull())
-    return F.when(F.size(complete) > 0, F.array_sort(complete))
+    return F.sort_array(reads)
 
 
 def without_site_io(stats: Column) -> Column:

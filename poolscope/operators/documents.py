@@ -200,6 +200,7 @@ class _Builder:
             "_statistics": lambda: chirp.with_totals(
                 own("_kept_stats"), chirp.fold_steps(ad("chirp"))
             ),
+            "_site_reads": lambda: chirp.site_io(ad("chirp")),
             "_typed_extra": lambda: typed_extra(
                 ad("extra"), own("_messages") if self.decode else None
             ),
@@ -249,7 +250,9 @@ class _Builder:
         for name in CHIRP_FIELDS:
             out[name] = lambda name=name: self.own(name)
         out["chirp"] = lambda: self.own("_statistics")
-        out["ChirpCMSSW_SiteIO"] = lambda: chirp.site_io(self.ad("chirp"))
+        out["ChirpCMSSW_SiteIO"] = lambda: F.when(
+            F.size(self.own("_site_reads")) > 0, self.own("_site_reads")
+        )
         out.update(self._benchmark_fields())
         if self.has_extra:
             out["extra"] = lambda: rename_extra(self.own("_typed_extra"))

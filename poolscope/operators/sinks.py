@@ -73,16 +73,14 @@ def document_json(docs: DataFrame, with_metadata: bool = True) -> Column:
     names = [c for c in payload_columns(docs) if c not in maps]
     if with_metadata and "metadata" in docs.columns:
         names.append("metadata")
-    text = F.to_json(F.struct(*names))
-    for name in maps:
-        more = F.to_json(F.col(name))
-        joined = F.concat(
-            F.left(text, F.length(text) - 1),
-            F.when(text == "{}", F.lit("")).otherwise(F.lit(",")),
-            F.substring(more, F.lit(2), F.length(more)),
-        )
-        text = F.when(F.coalesce(F.size(name), F.lit(0)) > 0, joined).otherwise(text)
-    return text
+    parts = [_members(F.to_json(F.struct(*names)))]
+    parts += [F.when(F.size(name) > 0, _members(F.to_json(name))) for name in maps]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+def _members(json_object: Column) -> Column:
+    """Text of an object without its outer braces."""
+    return F.regexp_replace(json_object, r"^\{|\}$", "")
 
 
 def index_bodies(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from poolscope.operators.dedupe import latest_documents, union_sources
 from poolscope.operators.documents import build_documents, drop_root_tasks
 from poolscope.operators.enrich import add_affiliation, attach_pool, row_bound
 from poolscope.sources import affiliations, registry
-from poolscope.sources.ads import ads_from_json
+from poolscope.sources.ads import read_ads
 from poolscope.sources.samples import LAUNCH_TIME, ads_of, observations, sample_ads, sample_base, table
 from poolscope.session import scratch_path, tune
 
@@ -169,12 +169,16 @@ def chirp_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def chirp_site_reads(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf, ["GlobalJobId", "ChirpCMSSW_SiteIO"], maps=True)
-    return _rounded(docs.select("GlobalJobId", F.inline("ChirpCMSSW_SiteIO")))
+    # the outer form does not filter on the list before it is made
+    reads = docs.select("GlobalJobId", F.inline_outer("ChirpCMSSW_SiteIO"))
+    return _rounded(reads.filter(F.col("SiteName").isNotNull()))
 
 
 def untyped_attributes(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf, ["GlobalJobId", "extra"], maps=True, decode=False)
-    return docs.select("GlobalJobId", F.explode("extra").alias("field", "value"))
+    # the outer form does not filter on the map before it is made
+    pairs = docs.select("GlobalJobId", F.explode_outer("extra").alias("field", "value"))
+    return pairs.filter(F.col("field").isNotNull())
 
 
 def typed_casts(spark: SparkSession, sf: str) -> DataFrame:
@@ -402,12 +406,9 @@ def json_records(spark: SparkSession, sf: str) -> DataFrame:
     """Records written as JSON lines and read back give the same documents."""
     fields = "GlobalJobId Status ExitCode Site CoreHr EventRate HasSingularity FormattedCrabId OutputFiles".split()
     ads = select.monitored(sample_ads(tune(spark), sf, maps=True)).drop("event_id", "extra")
-    flat = sinks.document_json(ads)
-    return _rounded(
-        build_documents(
-            ads_from_json(ads.select(flat.alias("value")), "value"), LAUNCH_TIME, fields=fields
-        )
-    )
+    stored = scratch_path(spark, "records")
+    ads.select(sinks.document_json(ads).alias("value")).write.text(stored)
+    return _rounded(build_documents(read_ads(spark, stored, "json"), LAUNCH_TIME, fields=fields))
 
 
 # --------------------------------------------------------------------------- dimensions
