@@ -38,8 +38,8 @@ def alerts(results: DataFrame, config: DataFrame, timestamp: int, summary: Colum
     The configuration is a handful of rows.
     """
     cases = config.filter(F.col("case").isNotNull()).select("case", F.col("config").alias("_own"))
-    default = config.filter(F.col("case").isNull()).select(
-        F.lit(-1).alias("_fallback"), F.col("config").alias("_default")
+    default = config.select(
+        F.coalesce("case", F.lit(-1)).alias("_fallback"), F.col("config").alias("_default")
     )
     subject = summary if isinstance(summary, Column) else F.lit(summary)
     description = F.nullif(F.ltrim("description"), F.lit(""))

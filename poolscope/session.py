@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -49,9 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="poolscope-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="poolscope-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
