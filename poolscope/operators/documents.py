@@ -77,6 +77,8 @@ def build_documents(
     records = drop_root_tasks(ads)
     if "ad__pool" in builder.used:
         records = records.withColumn("_pool", pool_name)
+    if "ad__infinite" in builder.used:
+        records = records.withColumn("_infinite", builder.infinite)
     rows = ad_source.stage(records, builder.used)
     for stage in (inputs, messages, shared, rates):
         if stage:
@@ -110,6 +112,7 @@ class _Builder:
         self.has_extra = "extra" in ads.columns
         self.launch_time, self.now, self.cms, self.decode = launch_time, now, cms, decode
         self.used: set[str] = set()
+        self.infinite = ad_source.infinite_attributes(ads)
         self.copies = self._bulk_copies()
 
     def ad(self, name: str) -> Column:
@@ -573,14 +576,10 @@ class _Builder:
             F.lit(False),
         )
         checks["RequestCpus is zero"] = (own("_cpus") == 0) & ((own("_wall") != 0) | timed)
-        for field in self.fields:
-            if catalog.kind_of(field.name) in ("long", "date") and not catalog.is_dropped(field.name):
-                infinite = casting.is_unconvertible(ad(field.name), field.dataType)
-                if infinite is not None:
-                    checks[f"{field.name} is infinite"] = infinite
-        return F.array_compact(
+        found = F.array_compact(
             F.array(*[F.when(bad, F.lit(text)) for text, bad in checks.items()])
         )
+        return found if self.infinite is None else F.concat(found, ad("_infinite"))
 
 
 def typed_extra(extra: Column, messages: Column | None = None) -> Column:

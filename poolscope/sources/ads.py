@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from poolscope import catalog
+from poolscope.functions import casting
 from poolscope.functions import chirp as chirp_fn
 
 _AD_DDL = """
@@ -95,7 +96,7 @@ def stage(ads: DataFrame, wanted: Container[str]) -> DataFrame:
         elif found.dataType == field.dataType or field.name in AS_DELIVERED:
             value = F.col(f"`{found.name}`")
         else:
-            value = F.col(f"`{found.name}`").try_cast(field.dataType)
+            value = _converted(F.col(f"`{found.name}`"), found.dataType, field.dataType)
         columns.append(value.alias(PREFIX + field.name))
     for lower, field in present.items():
         if lower not in _BY_LOWER_NAME and PREFIX + field.name in wanted:
@@ -103,6 +104,30 @@ def stage(ads: DataFrame, wanted: Container[str]) -> DataFrame:
     return ads.select(columns)
 
 
+def _converted(value: Column, found: T.DataType, wanted: T.DataType) -> Column:
+    """Bring an attribute to its type; what does not convert is null."""
+    if isinstance(wanted, T.LongType):
+        return casting.to_long(value, found)
+    if isinstance(wanted, T.DoubleType) and isinstance(found, T.StringType):
+        return casting.text_to_double(value)
+    if isinstance(wanted, T.StringType):
+        return casting.to_text(value, found)
+    return value.try_cast(wanted)
+
+
+def infinite_attributes(ads: DataFrame) -> Column | None:
+    """Names of integer attributes that are infinite in a record, if a source has such columns."""
+    checks = []
+    for field in ads.schema.fields:
+        known = _BY_LOWER_NAME.get(field.name.lower())
+        integer = isinstance(known.dataType, T.LongType) if known else False
+        if integer or catalog.kind_of(field.name) in ("long", "date"):
+            infinite = casting.is_unconvertible(F.col(f"`{field.name}`"), field.dataType)
+            if infinite is not None:
+                checks.append(F.when(infinite, F.lit(f"{field.name} is infinite")))
+    return F.array_compact(F.array(*checks)) if checks else None
+
+
 def delivered(ads: DataFrame) -> list[T.StructField]:
     """Attributes a record set really has, under their catalogue spelling."""
     fields = []
@@ -154,7 +179,7 @@ def ads_from_json(lines: DataFrame, column: str) -> DataFrame:
         (
             F.col(f"_known.{f.name}")
             if isinstance(f.dataType, (T.StringType, T.ArrayType))
-            else F.col(f"_known.{f.name}").try_cast(f.dataType)
+            else _converted(F.col(f"_known.{f.name}"), T.StringType(), f.dataType)
         ).alias(f.name)
         for f in scalar
     ]
@@ -170,4 +195,5 @@ def ads_from_json(lines: DataFrame, column: str) -> DataFrame:
 
 def _number(text: Column) -> Column:
     """A statistic as a number; booleans count as 0 and 1."""
-    return F.coalesce(text.try_cast("double"), text.try_cast("boolean").cast("double"))
+    flag = F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0))
+    return F.coalesce(casting.text_to_double(text), flag)

@@ -32,6 +32,9 @@ SCHEMA = {
     "RecordTime": "bigint",
     "ImageSize_RAW": "string",
     "GLIDEIN_Cpus": "double",
+    "ExitCode": "double",
+    "JobPrio": "double",
+    "JobRunCount": "string",
 }
 
 
@@ -119,6 +122,8 @@ def test_zero_benchmark_score_stops_the_weighting(spark):
         (dict(RequestCpus="0", RemoteWallClockTime=5), "RequestCpus is zero"),
         (dict(MachineAttrDIRACBenchmark0=0.0, CpuEventRate=1.0), "MachineAttrDIRACBenchmark0 is zero"),
         (dict(chirp={"ChirpCMSSWIOSite_bad": 1.0}), "statistic name is malformed"),
+        (dict(ExitCode=float("inf")), "ExitCode is infinite"),
+        (dict(JobPrio=float("inf")), "JobPrio is infinite"),
     ],
 )
 def test_bad_records(spark, record, reason):
@@ -138,6 +143,12 @@ def test_text_cpus_count_as_one(spark):
     assert document(spark, dict(RequestCpus="8"), "RequestCpus").RequestCpus == 8
 
 
+def test_text_attributes_are_converted(spark):
+    got = document(spark, dict(JobRunCount="12", ExitCode=3.7), "JobRunCount ExitCode _error")
+    assert (got.JobRunCount, got.ExitCode, got["_error"]) == (12, 3, [])
+    assert document(spark, dict(JobRunCount="1.5"), "JobRunCount").JobRunCount is None
+
+
 def test_attributes_win_over_early_fields(spark):
     got = document(spark, dict(RecordTime=123), "RecordTime doc_id")
     assert got.RecordTime == 123 and got.doc_id == "s#1#2#123"
