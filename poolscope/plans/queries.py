@@ -22,7 +22,7 @@ from poolscope.operators.documents import build_documents, drop_root_tasks
 from poolscope.operators.enrich import add_affiliation, attach_pool, row_bound
 from poolscope.sources import affiliations, registry
 from poolscope.sources.ads import read_ads
-from poolscope.sources.samples import LAUNCH_TIME, ads_of, observations, sample_ads, sample_base, table
+from poolscope.sources.samples import LAUNCH_TIME, ads_of, observations, sample_ads, sample_base, table, table_glob
 from poolscope.session import scratch_path, tune
 
 MONTH = 31 * 86400
@@ -721,7 +721,7 @@ def streamed_documents(spark: SparkSession, sf: str) -> DataFrame:
     from poolscope.streaming.documents import document_stream, write_stream
 
     schema = table(tune(spark), sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = spark.readStream.schema(schema).parquet(table_glob(sf, "events"))
     ads = select.monitored(ads_of(observations(rows)))
     fields = "doc_id GlobalJobId QDate RecordTime EnteredCurrentStatus Status ExitCode Site CoreHr _error".split()
     docs = document_stream(ads, LAUNCH_TIME, fields=fields)
@@ -736,7 +736,7 @@ def streamed_logs(spark: SparkSession, sf: str) -> DataFrame:
     from poolscope.streaming.logs import log_stream, write_log_stream
 
     schema = table(tune(spark), sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = spark.readStream.schema(schema).parquet(table_glob(sf, "events"))
     target = scratch_path(spark, "events")
     query = write_log_stream(log_stream(log_lines_of(observations(rows))), target, target + "-state")
     query.awaitTermination()

@@ -195,9 +195,19 @@ def ads_cte(table: str = "events") -> str:
     )
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    """Where a table is: a file, or a folder of files."""
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def table_glob(sf_dir: str, name: str) -> str:
+    """The same as a pattern: streams take a single file only by pattern."""
+    return os.path.join(sf_dir, f"{{{name}}}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def sample_base(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
