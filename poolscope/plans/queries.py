@@ -415,7 +415,7 @@ def json_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _people(spark: SparkSession, sf: str) -> DataFrame:
-    """Account dumps, one JSON text per customer."""
+    """Account dumps, one JSON text per customer. The table of nations has a fixed size."""
     customers = table(spark, sf, "customer").join(
         F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -480,7 +480,7 @@ def _registry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pools(spark: SparkSession, sf: str) -> DataFrame:
-    """Pools are regions, their collectors the nations."""
+    """Pools are regions, their collectors the nations; both tables have a fixed size."""
     nations = table(spark, sf, "nation").join(
         F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")
     )

@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 LAUNCH_TIME = 1706659200  # 2024-01-31 00:00:00 UTC
 
@@ -173,12 +172,16 @@ _ATTRIBUTES: list[tuple[str, str]] = [
 ]
 
 
-def base_sql(table: str, dialect: str) -> str:
+def base_columns(table: str, dialect: str) -> list[str]:
     """Observation columns of a table: event_id, user_id, g, amount, k, e."""
     names, words = _BASES[table], _DIALECTS[dialect]
     columns = [f"{names[c]} AS {c}" for c in ("event_id", "user_id", "g", "amount", "k")]
-    columns.append(words["epoch"].format(names["ts"]) + " AS e")
-    return ", ".join(columns)
+    return [*columns, words["epoch"].format(names["ts"]) + " AS e"]
+
+
+def base_sql(table: str, dialect: str) -> str:
+    """The same as a select list."""
+    return ", ".join(base_columns(table, dialect))
 
 
 def attribute_sql(dialect: str) -> list[str]:
@@ -217,18 +220,7 @@ def sample_base(spark: SparkSession, sf_dir: str, source: str = "events") -> Dat
 
 def observations(rows: DataFrame, source: str = "events") -> DataFrame:
     """Observation columns of rows of a table (batch or stream)."""
-    return rows.selectExpr(*_split_columns(base_sql(source, "spark")))
-
-
-def _split_columns(sql: str) -> list[str]:
-    """Split a select list on the commas outside of parentheses."""
-    columns, depth, start = [], 0, 0
-    for i, char in enumerate(sql):
-        depth += (char == "(") - (char == ")")
-        if char == "," and depth == 0:
-            columns.append(sql[start:i])
-            start = i + 1
-    return [*columns, sql[start:]]
+    return rows.selectExpr(*base_columns(source, "spark"))
 
 
 def sample_ads(spark: SparkSession, sf_dir: str, source: str = "events", *, maps: bool = False) -> DataFrame:
