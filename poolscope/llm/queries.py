@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolscope.llm import jaccard, langid, packing, tokenfiles
+from poolscope.llm import jaccard, langid, linefirst, packing, secretscan, tokenfiles
 from poolscope.llm.common import crc_remainder, table
 from poolscope.session import scratch_path
 
@@ -32,6 +32,17 @@ def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, keep_space=False, end_id=END_ID)
 
 
+def op8_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linefirst.measure(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_kept_lines", "kept_chars")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "word_no", "candidate", "score", "is_secret")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -40,5 +51,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
     "op5_retrieval_packing": op5_retrieval_packing,
+    "op8_line_cleaning": op8_line_cleaning,
+    "op9_secret_scan": op9_secret_scan,
     "op10_jaccard_join": op10_jaccard_join,
 }

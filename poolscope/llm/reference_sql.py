@@ -13,9 +13,9 @@ sets AS (
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM words),
 tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
 shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
   FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM shared WHERE 100 * both >= 75 * (n + m - both)),
+links AS (SELECT a, b FROM shared WHERE 100 * common >= 75 * (n + m - common)),
 ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
 least AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
@@ -23,4 +23,47 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesc
 FROM sets s LEFT JOIN least l ON l.a = s.doc_id
 """
 
-REFERENCE_SQL: dict[str, str] = {"op10_jaccard_join": JACCARD}
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+#: Base measures from exploded words and windows; line rules from exploded lines.
+LINE_CLEANING = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS.format("text")} AS w FROM documents),
+windows AS (
+  SELECT r, i, w[i : i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM base WHERE len(w) >= 3)),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM windows) WHERE c >= 2),
+covered AS (
+  SELECT r, CAST(count(DISTINCT p) AS BIGINT) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY r),
+lines AS (
+  SELECT * FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM base)
+  WHERE translate(line, {_SPACES}, '') <> ''),
+counted AS (
+  SELECT r, line, length(line) AS n, length(translate(line, {_SPACES}, '')) AS chars,
+    len({_WORDS.format("line")}) AS words,
+    length(line) - length(translate(line, '|>', '')) AS links,
+    length(line) - length(translate(line, '!', '')) AS exclaimed,
+    length(line) - length(translate(line, '#*$%&|<>', '')) AS symbols
+  FROM lines),
+judged AS (
+  SELECT *, regexp_matches(lower(line),
+      'cookie|privacy policy|terms of use|terms of service|all rights reserved|copyright|licensed under|enable javascript|subscribe to our|newsletter|click here|read more|sign up|sign in|share this')
+    OR (links >= 3 AND links * 4 >= words)
+    OR NOT regexp_matches(line, '[.!?:;)"''\]…»”’。！？][ 	-
+]*$') OR exclaimed * 2 > words OR symbols * 10 > n AS fails
+  FROM counted),
+of_lines AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (NOT fails) AS n_kept_lines, coalesce(sum(chars) FILTER (NOT fails), 0) AS kept_chars,
+    count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM judged GROUP BY r),
+measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(text, {_SPACES}, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_kept_lines, 0) AS BIGINT) AS n_kept_lines,
+    CAST(coalesce(kept_chars, 0) AS BIGINT) AS kept_chars
+  FROM base LEFT JOIN covered USING (r) LEFT JOIN of_lines USING (r)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND 2 * kept_chars >= word_chars AS kept FROM failed
+"""
+
+REFERENCE_SQL: dict[str, str] = {"op8_line_cleaning": LINE_CLEANING, "op10_jaccard_join": JACCARD}
