@@ -39,13 +39,17 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _repeated_words(hashes: Column) -> Column:
-    """Words that lie in a three-word window which the text has at least twice."""
-    windows = F.transform(
+def _windows(hashes: Column) -> Column:
+    """A hash of every three-word window."""
+    return F.transform(
         F.slice(hashes, 1, F.greatest(F.size(hashes) - 2, F.lit(0))),
-        lambda x, i: F.struct(F.xxhash64(x, F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"), i.alias("at")),
+        lambda x, i: F.xxhash64(x, F.get(hashes, i + 1), F.get(hashes, i + 2)),
     )
 
+
+def _repeated_words(windows: Column) -> Column:
+    """Words that lie in a three-word window which the text has at least twice."""
+
     def marked(ordered: Column) -> Column:
         twice = F.filter(
             ordered,
@@ -57,11 +61,16 @@ def _repeated_words(hashes: Column) -> Column:
         steps = F.transform(places, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(places, i + 1) - p, F.lit(3))))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x)
 
-    def counted(found: Column) -> Column:
-        none = F.size(F.array_distinct(F.transform(found, lambda w: w["h"]))) == F.size(found)
-        return F.when(none, F.lit(0).cast("long")).otherwise(_bound(_bound(F.sort_array(found), marked), covered))
+    def places(twice: Column) -> Column:
+        """Where the windows are that occur twice: looked up if they are few, else by sorting all with their places."""
+        few = F.filter(F.transform(windows, lambda h, i: F.when(F.array_contains(twice, h), i)), lambda i: i.isNotNull())
+        many = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
+        return F.when(F.size(twice) <= 24, few).otherwise(_bound(many, marked))
+
+    def equal_neighbours(ordered: Column) -> Column:
+        return F.array_distinct(F.filter(ordered, lambda h, i: (i > 0) & (h == F.get(ordered, i - 1))))
 
-    return F.coalesce(_bound(windows, counted), F.lit(0).cast("long"))
+    return F.coalesce(_bound(_bound(_bound(F.sort_array(windows), equal_neighbours), places), covered), F.lit(0).cast("long"))
 
 
 def _failing(line: Column, lowered: Column) -> Column:
@@ -93,14 +102,14 @@ def measure(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
         F.transform("_lines", lambda x: F.struct(x.alias("line"), F.lower(x).alias("lowered"))).alias("_lowered"),
     )
     judged = F.transform("_lowered", lambda x: F.struct(x["line"].alias("line"), _failing(x["line"], x["lowered"]).alias("rule")))
-    rows = rows.withColumn("_judged", judged).drop("_lowered")
+    rows = rows.withColumns({"_judged": judged, "_windows": _windows(F.col("_hashes"))}).drop("_lowered", "_hashes")
     kept = F.transform(F.filter("_judged", lambda x: x["rule"].isNull()), lambda x: x["line"])
     rows = rows.select(
         "doc_id", "n_words",
         F.length(_without(F.col("_text"), SPLIT)).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        _repeated_words(F.col("_hashes")).alias("n_repeat_words"),
+        _repeated_words(F.col("_windows")).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.transform("_judged", lambda x: x["rule"]).alias("line_rules"),
         F.array_join(kept, "\n").alias("cleaned"),

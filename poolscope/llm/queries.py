@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolscope.llm import jaccard, langid, linefirst, packing, secretscan, tokenfiles
+from poolscope.llm import interpolation, jaccard, langid, linefirst, packing, prefixfree, secretscan, tokenfiles
 from poolscope.llm.common import crc_remainder, table
 from poolscope.session import scratch_path
 
 END_ID = 2
 
 
+def op2_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixfree.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", crc_remainder("doc_id", 4) == 2)
@@ -32,6 +36,13 @@ def op5_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, keep_space=False, end_id=END_ID)
 
 
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = interpolation.score_documents(docs.withColumn("train", crc_remainder("doc_id", 7) != 2))
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefirst.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -48,9 +59,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_prefix_free_parsing": op2_prefix_free_parsing,
     "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
     "op5_retrieval_packing": op5_retrieval_packing,
+    "op6_deleted_interpolation": op6_deleted_interpolation,
     "op8_line_cleaning": op8_line_cleaning,
     "op9_secret_scan": op9_secret_scan,
     "op10_jaccard_join": op10_jaccard_join,
