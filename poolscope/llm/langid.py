@@ -174,16 +174,17 @@ def fit(labelled: DataFrame, sample: Sample = Sample()) -> ByteNet | None:
     return train(windows, labels, languages)
 
 
-def _predicted(net: ByteNet):
+def _predicted(net: ByteNet, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = net.scorer()
         for batch in batches:
-            for first, data, offsets in text_slices(batch.column("_text"), 250_000):
+            for first, data, offsets in text_slices(batch.column("text"), 250_000):
                 windows, begin = cut_windows(data, offsets)
                 parts = [score(windows[k : k + 64]) for k in range(0, len(windows), 64)]
                 mean = np.add.reduceat(np.concatenate(parts), begin[:-1]) / np.diff(begin)[:, None]
                 best = mean.argmax(axis=1)
-                part = batch.slice(first, len(best)).drop_columns(["_text"])
+                part = batch.slice(first, len(best))
+                part = part if keep_text else part.drop_columns(["text"])
                 found = [pa.array([net.languages[k] for k in best], pa.string()),
                          pa.array(np.clip(mean[np.arange(len(best)), best], 0, 1).astype(np.float64))]
                 yield pa.record_batch([*part.columns, *found], names=[*part.schema.names, "lang_pred", "score"])
@@ -191,15 +192,16 @@ def _predicted(net: ByteNet):
     return run
 
 
-def predict(docs: DataFrame, net: ByteNet | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` added (columns of these names are replaced)."""
-    rest = docs.drop("lang_pred", "score")
+def predict(docs: DataFrame, net: ByteNet | None, keep_text: bool = False) -> DataFrame:
+    """``docs`` (without ``text`` unless ``keep_text``) with ``lang_pred`` and ``score``; columns of these names are replaced."""
+    rows = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     if net is None:
+        rest = rows if keep_text else rows.drop("text")
         return rest.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    schema = rest.schema.add("lang_pred", "string").add("score", "double")
-    scored = rest.withColumn("_text", F.col("text").cast("string")).mapInArrow(_predicted(net), schema)
-    lettered = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    rows = rows.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    schema = (rows if keep_text else rows.drop("text")).schema.add("lang_pred", "string").add("score", "double")
+    scored = rows.mapInArrow(_predicted(net, keep_text), schema)
     return scored.withColumns({
-        "lang_pred": F.when(lettered, F.col("lang_pred")).otherwise(UNKNOWN),
-        "score": F.when(lettered, F.col("score")).otherwise(0.0),
-    })
+        "lang_pred": F.when(F.col("_lettered"), F.col("lang_pred")).otherwise(UNKNOWN),
+        "score": F.when(F.col("_lettered"), F.col("score")).otherwise(0.0),
+    }).drop("_lettered")

@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolscope.llm import interpolation, jaccard, langid, linefirst, packing, prefixfree, secretscan, tokenfiles
+from poolscope.llm import interpolation, jaccard, langid, linefirst, packing, prefixfree, secretscan, templates, tokenfiles, urlfilter
 from poolscope.llm.common import crc_remainder, table
 from poolscope.session import scratch_path
 
 END_ID = 2
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixfree.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -43,6 +47,20 @@ def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op7_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefirst.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -59,11 +77,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_template_decontamination": op1_template_decontamination,
     "op2_prefix_free_parsing": op2_prefix_free_parsing,
     "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
     "op5_retrieval_packing": op5_retrieval_packing,
     "op6_deleted_interpolation": op6_deleted_interpolation,
+    "op7_redirect_equivalence": op7_redirect_equivalence,
     "op8_line_cleaning": op8_line_cleaning,
     "op9_secret_scan": op9_secret_scan,
     "op10_jaccard_join": op10_jaccard_join,

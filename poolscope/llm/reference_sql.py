@@ -66,4 +66,42 @@ failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
 SELECT *, NOT base_failed AND 2 * kept_chars >= word_chars AS kept FROM failed
 """
 
-REFERENCE_SQL: dict[str, str] = {"op8_line_cleaning": LINE_CLEANING, "op10_jaccard_join": JACCARD}
+#: Rules by prefix and suffix tests, classes by the closure of canonical forms and links.
+REDIRECTS = r"""
+WITH RECURSIVE rules(host, path, action) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+links AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT url AS a, regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS b FROM pages
+    UNION ALL
+    SELECT url, regexp_extract(html, '(?is)<link\b[^>]*\bhref\s*=\s*["'']?([^"''\s>]+)["'']?[^>]*\brel\s*=\s*["'']?canonical\b', 1) FROM pages
+    UNION ALL
+    SELECT url, regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM pages)
+  WHERE contains(b, '://') AND a IS NOT NULL),
+urls AS (SELECT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM links UNION SELECT b FROM links),
+parts AS (
+  SELECT url, translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(regexp_replace(regexp_extract(url, '://[^?#]*\?([^#]*)', 1), '(^|&)(utm_[a-z]+|ref|gclid|fbclid)=[^&]*', '', 'g'), '^&', '') AS query
+  FROM urls),
+forms AS (
+  SELECT url, host, path, CASE WHEN contains(url, '://') THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/$', '')
+    || CASE WHEN query <> '' THEN '?' || query ELSE '' END ELSE url END AS form
+  FROM parts),
+fits AS (
+  SELECT f.url, r.host || r.path AS rule, r.action,
+    row_number() OVER (PARTITION BY f.url ORDER BY length(r.host || r.path) DESC, r.action) AS n
+  FROM forms f JOIN rules r ON (f.host = r.host OR ends_with(f.host, '.' || r.host)) AND starts_with(f.path, r.path)),
+ways AS (
+  SELECT 'a:' || url AS a, 'f:' || form AS b FROM forms UNION SELECT 'f:' || form, 'a:' || url FROM forms
+  UNION SELECT 'a:' || a, 'a:' || b FROM links UNION SELECT 'a:' || b, 'a:' || a FROM links),
+reach AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
+spread AS (
+  SELECT substr(r.a, 3) AS url, min(f.action) AS lowest FROM reach r JOIN fits f ON r.b = 'a:' || f.url AND f.n = 1
+  WHERE r.a LIKE 'a:%' GROUP BY ALL)
+SELECT p.page_id, coalesce(f.host, '') AS host, coalesce(f.path, '') AS path, t.rule, coalesce(t.action, s.lowest, 'allow') AS verdict
+FROM pages p LEFT JOIN forms f ON f.url = p.url LEFT JOIN fits t ON t.url = p.url AND t.n = 1 LEFT JOIN spread s ON s.url = p.url
+"""
+
+REFERENCE_SQL: dict[str, str] = {"op7_redirect_equivalence": REDIRECTS, "op8_line_cleaning": LINE_CLEANING, "op10_jaccard_join": JACCARD}
