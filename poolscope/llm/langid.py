@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from poolscope.llm.words import text_slices
 
@@ -199,7 +200,8 @@ def predict(docs: DataFrame, net: ByteNet | None, keep_text: bool = False) -> Da
         rest = rows if keep_text else rows.drop("text")
         return rest.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     rows = rows.withColumn("_lettered", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    schema = (rows if keep_text else rows.drop("text")).schema.add("lang_pred", "string").add("score", "double")
+    fields = (rows if keep_text else rows.drop("text")).schema.fields
+    schema = StructType(list(fields)).add("lang_pred", "string").add("score", "double")
     scored = rows.mapInArrow(_predicted(net, keep_text), schema)
     return scored.withColumns({
         "lang_pred": F.when(F.col("_lettered"), F.col("lang_pred")).otherwise(UNKNOWN),
