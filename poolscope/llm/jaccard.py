@@ -10,7 +10,7 @@ Method: multiple-global-order filtering. If two sets have a Jaccard similarity o
 
 Documents with equal sets are one class from the start. Each token's smallest class is its pivot: first all
 classes are compared with the pivots of their tokens only, and the links found are closed into components. After
-that only pairs of *different* components need a comparison; a large group of near copies never makes its pairs.
+that only tokens of three or more classes are left, and of them only pairs of *different* components need a comparison; a large group of near copies never makes its pairs.
 No link between different components is lost: what is skipped would join classes that are joined already.
 
 Memory: a task holds a slice of texts or a batch of pairs. The sketch is a fixed 2**20 counters, the filter
@@ -37,6 +37,7 @@ from poolscope.llm.words import mixed, shingle_sets, text_slices
 SKETCH = 1 << 20
 SEGMENTS = 64
 FILTER_BITS = 1 << 22
+HOT, SALTS, MANY, PIVOTS = 20_000, 64, 20, 12
 SCALE = 100
 
 
@@ -118,8 +119,11 @@ def _sketch(stats: DataFrame) -> np.ndarray:
 
 
 def _prefixes(width: int, percent: int, counts):
-    """Prefix tokens of each set in order of the sketch: token, set hash, size and position."""
-    schema = pa.schema([("token", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("seen", pa.int32())])
+    """Prefix tokens of each set in order of the sketch: token, set hash, and size and position in one number.
+
+    The number is negative for tokens that very many documents seem to have.
+    """
+    schema = pa.schema([("token", pa.int64()), ("class", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, done = counts.value, set()
@@ -135,8 +139,8 @@ def _prefixes(width: int, percent: int, counts):
                     n, seen = len(tokens), sketch[_slots(tokens)]
                     first = np.argsort(seen, kind="stable")[: prefix_length(n, percent)]
                     m = len(first)
-                    out.append((tokens[first].view(np.int64), np.full(m, _signed([key])[0, 0]), np.full(m, n, np.int32),
-                                np.arange(m, dtype=np.int32), seen[first]))
+                    place = (n << 31) + np.arange(m)
+                    out.append((tokens[first].view(np.int64), np.full(m, _signed([key])[0, 0]), np.where(seen[first] > HOT, -place, place)))
                 if out:
                     yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
@@ -211,28 +215,32 @@ class _Join:
             F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
     def _links(self, sketch) -> DataFrame:
-        schema = "token long, class long, n int, pos int, seen int"
+        schema = "token long, class long, place long"
         prefixes = self.docs.select("text").mapInArrow(_prefixes(self.width, self.percent, sketch), schema)
         # a token that very many documents seem to have is dealt over salts, with a pivot for each
-        salt = F.when(F.col("seen") > 20_000, F.pmod(F.col("class"), F.lit(64))).otherwise(0).cast("int")
-        of_token = Window.partitionBy("token", "salt")
+        salt = F.when(F.col("place") < 0, F.pmod("class", F.lit(SALTS))).otherwise(0).cast("int")
+        of_token = Window.partitionBy("token", salt)
+        size, position = F.shiftright(F.abs("place"), 31).cast("int"), F.abs("place").bitwiseAND(F.lit(2**31 - 1)).cast("int")
         shared = (
-            prefixes.withColumn("salt", salt)
-            .withColumn("pivot", F.min(F.struct("class", "n", "pos")).over(of_token))
+            prefixes.withColumn("first", F.min(F.struct("class", "place")).over(of_token))
             .withColumn("last", F.max("class").over(of_token))
-            .filter("salt > 0 OR seen > 20000 OR pivot.class <> last")
-            .select("token", "class", "n", "pos", F.col("pivot.class").alias("pivot"),
-                    F.col("pivot.n").alias("pivot_n"), F.col("pivot.pos").alias("pivot_pos"))
+            .withColumn("rows", F.count("*").over(of_token))
+            .filter("place < 0 OR first.class <> last")
+            .select("token", "class", size.alias("n"), position.alias("pos"), F.col("first.class").alias("pivot"),
+                    F.shiftright(F.abs("first.place"), 31).cast("int").alias("pivot_n"),
+                    F.abs("first.place").bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("pivot_pos"),
+                    (F.col("place") < 0).alias("hot"), (F.col("rows") > 2).alias("more"))
         )
         shared = stored(shared, "jaccard-shared")
         pairs = shared.filter("class <> pivot").filter(_may_reach(self.percent, "n", "pos", "pivot_n", "pivot_pos"))
         found = self._verify(pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")))
-        tokens = shared.select("token", "class", "n", "pos", "pivot").distinct()
+        # two rows are settled by their pivot, and so are a pivot's own pairs unless its token is dealt over salts
+        tokens = shared.filter("hot OR more AND class <> pivot").select("token", "class", "n", "pos").distinct()
         for number in range(self.rounds + 1):
             opened, left = self._open(tokens, found)
             if left == 0:
                 return found
-            again = number < self.rounds and left > 2 * opened.count()
+            again = number < self.rounds and left > MANY * opened.count()
             more = self._verify(self._pivot_pairs(opened, number) if again else self._all_pairs(opened))
             found = stored(found.union(more), "jaccard-links")
             if not again:
@@ -254,21 +262,28 @@ class _Join:
         return opened, int(parts.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0)
 
     def _pivot_pairs(self, opened: DataFrame, number: int) -> DataFrame:
-        """Every row against one class of its token, another one in each round."""
-        pivot = opened.groupBy("token").agg(
-            F.min_by(F.struct("class", "n", "pos", "component"), F.xxhash64("class", F.lit(number))).alias("p"))
-        pivot = pivot.select("token", F.col("p.class").alias("pc"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp"),
-                             F.col("p.component").alias("pk"))
+        """Every class against some others of the token it shares with most; other ones in each round.
+
+        A shortcut only: what it does not link is compared by ``_all_pairs``.
+        """
+        seeds = range(number * PIVOTS, (number + 1) * PIVOTS)
+        chosen = [F.min_by(F.struct("class", "n", "pos", "component"), F.xxhash64("class", F.lit(k))) for k in seeds]
+        pivot = stored(opened.groupBy("token").agg(F.array(*chosen).alias("p"), F.count("*").alias("rows")), "jaccard-pivots")
+        first = opened.join(pivot.select("token", "rows"), "token").groupBy("class", "n", "component").agg(
+            F.max(F.struct("rows", "token", "pos")).alias("f"))
+        first = first.select("class", "n", "component", F.col("f.pos").alias("pos"), F.col("f.token").alias("token"))
+        pivot = pivot.select("token", F.explode("p").alias("p")).select(
+            "token", F.col("p.class").alias("pc"), F.col("p.n").alias("pn"), F.col("p.pos").alias("pp"), F.col("p.component").alias("pk"))
         near = (F.col("component") != F.col("pk")) & _may_reach(self.percent, "n", "pos", "pn", "pp")
-        pairs = opened.join(pivot, "token").filter(near)
+        pairs = first.join(pivot, "token").filter(near)
         return pairs.select(F.least("class", "pc").alias("a"), F.greatest("class", "pc").alias("b"))
 
     def _all_pairs(self, opened: DataFrame) -> DataFrame:
         """The pairs of different components that no pivot has settled."""
-        left = opened.select("token", *(F.col(c).alias(f"{c}_a") for c in ("class", "n", "pos", "pivot", "component")))
+        left = opened.select("token", *(F.col(c).alias(f"{c}_a") for c in ("class", "n", "pos", "component")))
         right = opened.select("token", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "pos", "component")))
         near = _may_reach(self.percent, "n_a", "pos_a", "n_b", "pos_b") & F.expr(
-            "class_a < class_b AND component_a <> component_b AND pivot_a <> class_a AND pivot_a <> class_b")
+            "class_a < class_b AND component_a <> component_b")
         return left.join(right, "token").filter(near).select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
@@ -287,10 +302,10 @@ class _Join:
         return stored(both.mapInArrow(_verified(self.percent), "a long, b long"), "jaccard-links")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 6) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest reachable id) of every row of ``docs``.
 
     ``width`` words make a shingle; ``percent`` is the least similarity; ``rounds`` is how often new pivots are
-    tried while the pairs left outnumber the rows that make them, before those pairs are compared one by one.
+    tried while the pairs left far outnumber the rows that make them, before those pairs are compared one by one.
     """
     return _Join(docs, width, percent, rounds).run()
