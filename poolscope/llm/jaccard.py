@@ -219,10 +219,11 @@ class _Join:
         prefixes = self.docs.select("text").mapInArrow(_prefixes(self.width, self.percent, sketch), schema)
         # a token that very many documents seem to have is dealt over salts, with a pivot for each
         salt = F.when(F.col("place") < 0, F.pmod("class", F.lit(SALTS))).otherwise(0).cast("int")
-        of_token = Window.partitionBy("token", salt)
+        of_token = Window.partitionBy("token", "salt")
         size, position = F.shiftright(F.abs("place"), 31).cast("int"), F.abs("place").bitwiseAND(F.lit(2**31 - 1)).cast("int")
         shared = (
-            prefixes.withColumn("first", F.min(F.struct("class", "place")).over(of_token))
+            prefixes.withColumn("salt", salt)
+            .withColumn("first", F.min(F.struct("class", "place")).over(of_token))
             .withColumn("last", F.max("class").over(of_token))
             .withColumn("rows", F.count("*").over(of_token))
             .filter("place < 0 OR first.class <> last")
