@@ -38,6 +38,8 @@ from poolscope.llm.common import stored
 from poolscope.llm.words import mixed, powers, prefix_hashes
 
 TRIGGER = 32
+#: Text of a batch: the arrays made for it take up to about a hundred times as much.
+BATCH_BYTES = 4_000_000
 NO_ID = -(2**63)
 
 
@@ -252,7 +254,7 @@ def _removed(length: int, with_text: bool):
 def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = True) -> DataFrame:
     """What is left of every document, as digests and (``with_text``) as bytes in ``kept``."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    batches = write_batches(rows, "repeats")
+    batches = write_batches(rows, "repeats", BATCH_BYTES)
     parsed = batches.manifest.repartition(max(1, batches.number), "path").mapInArrow(_save_parse(length), "path string")
     batches = replace(batches, manifest=stored(parsed, "repeats-parsed"))
     contexts = ask(batches, _ask_contexts(length), (np.uint64, np.int64), _first_contexts, "repeats-contexts")
