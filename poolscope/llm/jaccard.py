@@ -37,7 +37,7 @@ from poolscope.llm.words import mixed, shingle_sets, text_slices
 SKETCH = 1 << 20
 SEGMENTS = 64
 FILTER_BITS = 1 << 22
-HOT, SALTS, MANY, PIVOTS = 20_000, 64, 20, 12
+HOT, SALTS, MANY, PIVOTS = 20_000, 64, 20, 24
 SCALE = 100
 
 
@@ -290,20 +290,22 @@ class _Join:
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """Links between the smallest ids of classes, of candidate pairs of set hashes."""
         pairs = stored(pairs.distinct(), "jaccard-pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("s1")).distinct()
-        involved = stored(self.classes.join(ends, "s1").select("s1", "rep"), "jaccard-involved")
+        reps = self.classes.select("s1", "rep")
+        named = pairs.join(reps.toDF("a", "rep_a"), "a").join(reps.toDF("b", "rep_b"), "b")
+        named = stored(named.select("rep_a", "rep_b"), "jaccard-named")
         bits = np.zeros(FILTER_BITS, dtype=bool)
-        slots = involved.select(F.pmod("rep", F.lit(FILTER_BITS)).cast("int").alias("slot")).distinct()
+        ids = named.select(F.col("rep_a").alias("id")).union(named.select("rep_b"))
+        slots = ids.select(F.pmod("id", F.lit(FILTER_BITS)).cast("int").alias("slot")).distinct()
         bits[np.array(slots.toArrow().column(0), dtype=np.int64)] = True  # at most FILTER_BITS rows
+        # sets that the filter lets through by chance meet no pair
         sets = self.docs.mapInArrow(_sets(self.width, self.context.broadcast(bits)), "doc_id long, tokens binary")
-        sets = stored(sets.join(involved, F.col("doc_id") == F.col("rep")).select("s1", "rep", "tokens"), "jaccard-sets")
-        a = sets.select(F.col("s1").alias("a"), F.col("rep").alias("rep_a"), F.col("tokens").alias("tokens_a"))
-        b = sets.select(F.col("s1").alias("b"), F.col("rep").alias("rep_b"), F.col("tokens").alias("tokens_b"))
-        both = pairs.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "tokens_a", "tokens_b")
+        sets = stored(sets, "jaccard-sets")
+        both = named.join(sets.toDF("rep_a", "tokens_a"), "rep_a").join(sets.toDF("rep_b", "tokens_b"), "rep_b")
+        both = both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "tokens_a", "tokens_b")
         return stored(both.mapInArrow(_verified(self.percent), "a long, b long"), "jaccard-links")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 4) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest reachable id) of every row of ``docs``.
 
     ``width`` words make a shingle; ``percent`` is the least similarity; ``rounds`` is how often new pivots are
