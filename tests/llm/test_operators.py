@@ -292,7 +292,7 @@ def test_redirect_classes(spark):
 def test_lines(spark, odd, none):
     good = "\n".join(" ".join(f"word{k}{chr(97 + j)}" for j in range(9)) + " ends here." for k in range(12))
     menu = "Home | News | Sport | Contact\n" * 12 + "Accept all cookies.\nno closing mark here at all in this line of words\n"
-    docs = rows(spark, [(1, good), (2, good + "\n" + "Home | News | Sport"), (3, menu * 3 + good[:80])])
+    docs = rows(spark, [(1, good), (2, good + "\n" + "Home | News | Sport | Contact"), (3, menu * 3 + good[:80])])
     found = {r.doc_id: r for r in linefirst.measure(docs).collect()}
     assert found[1].kept and found[2].kept and found[2].cleaned == good and not found[3].kept
     assert found[2].line_rules[-1] == "navigation" and {"boilerplate", "punctuation"} <= set(found[3].line_rules)
