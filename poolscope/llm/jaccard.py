@@ -305,7 +305,7 @@ class _Join:
         return stored(both.mapInArrow(_verified(self.percent), "a long, b long"), "jaccard-links")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 4) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 1) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (smallest reachable id) of every row of ``docs``.
 
     ``width`` words make a shingle; ``percent`` is the least similarity; ``rounds`` is how often new pivots are
