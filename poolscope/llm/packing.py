@@ -46,7 +46,7 @@ def _encoded(vocabulary_path: str, keep_space: bool, end_id: int):
         encode = encoder(vocabulary_path, keep_space)
         texts = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
         parts, lengths = [], []
-        for _, data, offsets in text_slices(texts, 4_000_000):
+        for _, data, offsets in text_slices(texts):
             ids, begins = encode.encode(data, offsets, end_id)
             parts.append(ids), lengths.append(np.diff(begins))
         ids, lengths = np.concatenate(parts), np.concatenate(lengths)

@@ -15,6 +15,7 @@ import numpy as np
 from poolscope.llm.words import SPACES, prefix_hashes, span_hashes, word_spans
 
 CACHED = 4_000_000
+AT_ONCE = 10_000
 
 
 class ChunkEncoder:
@@ -47,7 +48,9 @@ class ChunkEncoder:
     def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw = data.tobytes()
         texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found: list[list[int]] = []
+        for k in range(0, len(texts), AT_ONCE):  # an encoding is much larger than its ids
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts[k : k + AT_ONCE], add_special_tokens=False)]
         counts = np.array([len(ids) for ids in found], dtype=np.int64)
         begins = len(self.ids) + np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
         self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))])
