@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; the arrays made for them take about fifty times as much.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
