@@ -45,6 +45,7 @@ def build_documents(
     reduce_active: bool = False,
     pool: Column | str | None = None,
     decode: bool = True,
+    carry: Iterable[str] = (),
 ) -> DataFrame:
     """Derive the job documents of a record set.
 
@@ -53,14 +54,16 @@ def build_documents(
     (default: all). ``cms=False`` is for records of other user communities.
     ``reduce_active`` keeps only the active-job fields of jobs in the queue. ``pool`` is the
     name of the pool, or a column over the records that gives it. ``decode`` inflates
-    compressed messages among the attributes without a column.
+    compressed messages among the attributes without a column. ``carry`` names columns that are no
+    attributes; they are handed on as they are. Their names start with ``_run_``.
 
     The field ``_error`` lists what makes a record unusable; see
     :func:`poolscope.operators.quality.split_bad_records`.
     """
     now = launch_time if now is None else now
     pool_name = F.coalesce(pool if isinstance(pool, Column) else F.lit(pool), F.lit("Unknown"))
-    builder = _Builder(ads, launch_time, now, cms, decode and "extra" in ads.columns)
+    carry = list(carry)
+    builder = _Builder(ads.drop(*carry), launch_time, now, cms, decode and "extra" in ads.columns)
     recipes = builder.output(reduce_active)
     wanted = list(recipes) if fields is None else list(fields)
     unknown = [name for name in wanted if name not in recipes]
@@ -79,11 +82,11 @@ def build_documents(
         records = records.withColumn("_pool", pool_name)
     if "ad__infinite" in builder.used:
         records = records.withColumn("_infinite", builder.infinite)
-    rows = ad_source.stage(records, builder.used)
+    rows = ad_source.stage(records, builder.used, carry)
     for stage in (inputs, messages, shared, rates):
         if stage:
             rows = rows.select("*", *_aliased(stage))
-    return rows.select(_aliased(output))
+    return rows.select(*_aliased(output), *carry)
 
 
 def _made(recipes: Recipes, wanted: Iterable[str]) -> dict[str, Column]:

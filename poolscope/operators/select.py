@@ -55,9 +55,12 @@ def only_schedulers(rows: DataFrame, names: str | None, column: str = "Name") ->
 
 
 def capped_per_scheduler(
-    rows: DataFrame, limit: int | None, scheduler: str = "ScheddName", order: str = "GlobalJobId"
+    rows: DataFrame,
+    limit: int | None,
+    scheduler: str = "ScheddName",
+    order: tuple[str, ...] = ("GlobalJobId",),
 ) -> DataFrame:
-    """At most ``limit + 1`` rows of each scheduler, the first by id (no cap without a limit).
+    """At most ``limit + 1`` rows of each scheduler, the first in order (no cap without a limit).
 
     A run stops a scheduler once its count exceeds the limit, hence the extra row. Ranks are
     taken per scheduler and salt first, so a scheduler with a large part of all rows is cut
@@ -65,9 +68,9 @@ def capped_per_scheduler(
     """
     if not limit:
         return rows
-    salt = F.pmod(F.xxhash64(order), F.lit(_CAP_SALTS))
-    near = Window.partitionBy(scheduler, "_salt").orderBy(order)
-    final = Window.partitionBy(scheduler).orderBy(order)
+    salt = F.pmod(F.xxhash64(*order), F.lit(_CAP_SALTS))
+    near = Window.partitionBy(scheduler, "_salt").orderBy(*order)
+    final = Window.partitionBy(scheduler).orderBy(*order)
     return (
         rows.withColumn("_salt", salt)
         .withColumn("_rank", F.row_number().over(near))

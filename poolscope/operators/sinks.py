@@ -16,7 +16,7 @@ from poolscope.functions.times import to_millis, utc_day
 from poolscope.operators.dedupe import first_per_key
 
 # Columns that belong to the pipeline, not to a document.
-INTERNAL = ("doc_id", "_error", "index", "idx_date", "batch", "metadata")
+INTERNAL = ("doc_id", "_error", "index", "idx_date", "feed", "batch", "written", "metadata")
 
 
 def index_name(template: str, queued: Column) -> Column:
@@ -58,29 +58,81 @@ def payload_columns(docs: DataFrame) -> list[str]:
 
 
 def dates_to_millis(docs: DataFrame) -> DataFrame:
-    """Date fields in milliseconds, as the broker expects them."""
-    dates = {catalog.field_name(name) for name in catalog.DATE_ATTRS} & set(docs.columns)
-    return docs.withColumns({name: to_millis(F.col(name)) for name in sorted(dates)})
+    """Date fields in milliseconds, as the broker expects them, those inside the maps too.
+
+    Only fields whose own name is declared a date: one that lost a decoration on its way into
+    the document keeps its seconds.
+    """
+    dates = sorted(set(catalog.DATE_ATTRS) & set(docs.columns))
+    scaled = {name: to_millis(F.col(name)) for name in dates}
+    if "extra" in docs.columns:
+        scaled["extra"] = F.transform_values(
+            "extra",
+            lambda k, v: F.when(
+                k.isin(catalog.DATE_ATTRS), (v.try_cast("bigint") * 1000).cast("string")
+            ).otherwise(v),
+        )
+    if "chirp" in docs.columns:
+        scaled["chirp"] = F.transform_values(
+            "chirp", lambda k, v: F.when(k.isin(catalog.DATE_ATTRS), v * 1000).otherwise(v)
+        )
+    return docs.withColumns(scaled)
 
 
 def document_json(docs: DataFrame, with_metadata: bool = True) -> Column:
     """A document as one flat JSON object; missing fields are left out.
 
     The attributes without a column of their own, and the application statistics, become
-    fields like all others.
+    fields like all others. A column with a value beats an entry of the same name. Values have
+    their declared kind; undeclared ones are the number, truth value, list or object that their
+    text spells, else text.
     """
     maps = [c for c in ("chirp", "extra") if c in docs.columns]
     names = [c for c in payload_columns(docs) if c not in maps]
     if with_metadata and "metadata" in docs.columns:
         names.append("metadata")
-    parts = [_members(F.to_json(F.struct(*names)))]
-    parts += [F.when(F.size(name) > 0, _members(F.to_json(name))) for name in maps]
+    columns = F.to_json(F.struct(*names))
+    parts, taken = [_members(columns)], []
+    for name in maps:
+        kept = _without(F.col(name), names, columns, taken)
+        parts.append(_members(F.to_json(_typed(kept) if name == "extra" else kept)))
+        taken.append(F.col(name))
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def _members(json_object: Column) -> Column:
-    """Text of an object without its outer braces."""
-    return F.regexp_replace(json_object, r"^\{|\}$", "")
+    """Text of an object without its outer braces; NULL without members."""
+    return F.nullif(F.regexp_replace(json_object, r"^\{|\}$", ""), F.lit(""))
+
+
+def _without(entries: Column, names: list[str], columns: Column, taken: list[Column]) -> Column:
+    """Entries whose name no column with a value and no earlier map has.
+
+    The texts of the columns are looked into only where an entry has the name of a column.
+    """
+    for earlier in taken:
+        entries = _not_among(entries, F.coalesce(F.map_keys(earlier), F.array().cast("array<string>")))
+    clash = F.exists(F.map_keys(entries), lambda k: k.isin(names))
+    return F.when(clash, _not_among(entries, F.json_object_keys(columns))).otherwise(entries)
+
+
+def _not_among(entries: Column, names: Column) -> Column:
+    return F.map_filter(entries, lambda k, _: ~F.array_contains(names, k))
+
+
+_SPELLED_VALUE = r"^(true|false|-?(0|[1-9]\d{0,17})(\.\d{1,17})?|\{[\s\S]*\}|\[[\s\S]*\])$"
+_TEXT_FIELDS = sorted(name for name, kind, *_ in catalog.field_descriptors() if kind == "string")
+
+
+def _typed(extra: Column) -> Column:
+    """Attributes without a column as values of their kind."""
+    return F.transform_values(
+        extra,
+        lambda k, v: F.coalesce(
+            F.when(~k.isin(_TEXT_FIELDS) & v.rlike(_SPELLED_VALUE), F.try_parse_json(v)),
+            v.cast("variant"),
+        ),
+    )
 
 
 def index_bodies(docs: DataFrame) -> DataFrame:
@@ -111,38 +163,57 @@ def broker_messages(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------- writing
 
 
-def write_index(docs: DataFrame, path: str, batch: int) -> None:
-    """Store routed documents by day, as one numbered batch.
+def write_index(
+    docs: DataFrame, path: str, batch: int, feed: str = "run", written: int | None = None
+) -> None:
+    """Store routed documents by day, as one numbered batch of a feed.
 
-    A repeated batch replaces itself, so a batch that is retried adds nothing. Days are
-    rebalanced before the write: a day with many documents gets many files of a sensible
-    size, small days share a task.
+    Feeds (history, queue, a stream) number their batches on their own. A repeated batch
+    replaces itself, so a batch that is retried adds nothing. ``written`` (default: the batch
+    number) is a time in seconds that orders the batches of all feeds. Days are rebalanced
+    before the write: a day with many documents gets many files of a sensible size, small days
+    share a task.
     """
+    time = F.lit(batch if written is None else written).cast("bigint")
     (
-        docs.hint("rebalance", "idx_date")
+        docs.withColumn("written", time)
+        .hint("rebalance", "idx_date")
         .write.mode("overwrite")
         .partitionBy("idx_date")
-        .parquet(f"{path}/batch={batch}")
+        .parquet(_batch_path(path, feed, batch))
     )
 
 
+def _batch_path(path: str, feed: str, batch: int) -> str:
+    return f"{path}/feed={feed}/batch={batch}"
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Current documents of an index: the last batch wins for every id.
+    """Current documents of an index: what was written last wins for every id.
 
-    A filter on ``idx_date`` prunes folders: all copies of a document share their queue date.
+    Of two feeds that wrote at the same time the first by name wins (history before queue). A
+    filter on ``idx_date`` prunes folders: all copies of a document share their queue date.
     """
     stored = spark.read.parquet(path)
-    return first_per_key(stored, ["idx_date", "doc_id"], [F.desc("batch")])
+    latest = [F.desc("written"), F.asc("feed"), F.desc("batch")]
+    return first_per_key(stored, ["idx_date", "doc_id"], latest)
 
 
 def compact_index(spark: SparkSession, path: str, target: str) -> None:
     """Rewrite an index without replaced documents to a new path, as batch 0."""
-    write_index(read_index(spark, path).drop("batch"), target, 0)
+    write_index(read_index(spark, path).drop("feed", "batch", "written"), target, 0, "compacted")
+
+
+def write_messages(messages: DataFrame, path: str, batch: int, feed: str = "run") -> None:
+    """Store broker messages (key, value) as JSON lines, one folder per batch of a feed."""
+    messages.write.mode("overwrite").json(_batch_path(path, feed, batch))
 
 
-def write_messages(messages: DataFrame, path: str, batch: int) -> None:
-    """Store broker messages (key, value) as JSON lines, one folder per batch."""
-    messages.write.mode("overwrite").json(f"{path}/batch={batch}")
+def write_quarantine(bad: DataFrame, path: str, batch: int, feed: str = "run") -> None:
+    """Store unusable records with their reasons, one folder per batch of a feed."""
+    names = [c for c in ("GlobalJobId", "doc_id", "ScheddName", "EnteredCurrentStatus", "QDate") if c in bad.columns]
+    reasons = bad.select(*names, F.col("_error").alias("reasons"))
+    reasons.write.mode("overwrite").parquet(_batch_path(path, feed, batch))
 
 
 def write_everywhere(
@@ -153,22 +224,19 @@ def write_everywhere(
     index_paths: Iterable[str] = (),
     broker_path: str | None = None,
     metadata: dict | None = None,
+    feed: str = "run",
+    written: int | None = None,
 ) -> None:
-    """Send one batch to all index stores and to the broker."""
-    index_paths = list(index_paths)
-    targets = len(index_paths) + (broker_path is not None)
+    """Send one batch to all index stores and to the broker.
+
+    Each target reads ``docs`` again, so they should come from a stored table.
+    """
     stamped = stamp(docs, metadata) if metadata else docs
     routed = route(stamped, template)
-    if targets > 1:
-        routed = routed.persist()
-    try:
-        for path in index_paths:
-            write_index(routed, path, batch)
-        if broker_path is not None:
-            write_messages(broker_messages(routed), broker_path, batch)
-    finally:
-        if targets > 1:
-            routed.unpersist()
+    for path in index_paths:
+        write_index(routed, path, batch, feed, written)
+    if broker_path is not None:
+        write_messages(broker_messages(routed), broker_path, batch, feed)
 
 
 # ---------------------------------------------------------------------------- reports

@@ -7,7 +7,7 @@ Attributes a source does not deliver may be left out.
 
 from __future__ import annotations
 
-from collections.abc import Container
+from collections.abc import Container, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +78,12 @@ def attribute(name: str) -> Column:
     return F.col(PREFIX + name)
 
 
-def stage(ads: DataFrame, wanted: Container[str]) -> DataFrame:
+def stage(ads: DataFrame, wanted: Container[str], carry: Iterable[str] = ()) -> DataFrame:
     """Rename the wanted attributes to ``ad_*``; attributes that are not delivered are null.
 
     Staged names cannot collide with document fields. Only columns that are missing or of
     another type are computed; the others are plain references, so filters and pruning still
-    reach the scan.
+    reach the scan. Columns to ``carry`` stay as they are.
     """
     present = {f.name.lower(): f for f in ads.schema.fields}
     columns = []
@@ -101,7 +101,7 @@ def stage(ads: DataFrame, wanted: Container[str]) -> DataFrame:
     for lower, field in present.items():
         if lower not in _BY_LOWER_NAME and PREFIX + field.name in wanted:
             columns.append(F.col(f"`{field.name}`").alias(PREFIX + field.name))
-    return ads.select(columns)
+    return ads.select(*columns, *carry)
 
 
 def _converted(value: Column, found: T.DataType, wanted: T.DataType) -> Column:

@@ -195,6 +195,40 @@ def test_flat_json(spark):
     assert "CompletionDate" not in got and "doc_id" not in got
 
 
+def test_json_values_have_their_kind(spark):
+    import json
+
+    from poolscope.operators.sinks import broker_messages, stamp
+
+    extra = {
+        "BytesSent": "12", "TransferQueued": "true", "SomeFloat": "1.5", "JobStartDate": "150", "Odd": "007",
+        "DAG_Stats": '{"a": 1}', "DESIRED_Sites": "T2_X", "Owner": "extra", "Globus": "12x", "Nothing": None,
+    }
+    ads = spark.createDataFrame(
+        [("s#1", 4, NOW, "o", "T1_A", {"ChirpCMSSWLastUpdate": 7.0}, extra)],
+        "GlobalJobId string, JobStatus bigint, QDate bigint, Owner string, DESIRED_Sites string,"
+        " chirp map<string,double>, extra map<string,string>",
+    )
+    docs = build_documents(ads, NOW)
+    pairs = json.loads(docs.select(document_json(docs)).first()[0], object_pairs_hook=list)
+    names = [name for name, _ in pairs]
+    assert len(names) == len(set(names))
+    got = dict(pairs)
+    assert (got["BytesSent"], got["TransferQueued"], got["SomeFloat"], got["JobStartDate"]) == (12, True, 1.5, 150)
+    assert got["Odd"] == "007" and got["Globus"] == "12x" and got["DAG_Stats"] == [("a", 1)]
+    assert got["Owner"] == "o" and "Nothing" not in got
+    sent = broker_messages(stamp(docs, {"m": 1})).first().value
+    payload = json.loads(json.loads(sent)["payload"])
+    assert payload["JobStartDate"] == 150000 and payload["QDate"] == NOW * 1000
+
+
+def test_json_of_maps_alone(spark):
+    import json
+
+    docs = spark.createDataFrame([(None, {"a": "1"}), (None, None)], "x string, extra map<string,string>")
+    assert [json.loads(r[0]) for r in docs.select(document_json(docs)).collect()] == [{"a": 1}, {}]
+
+
 def test_unknown_field_is_an_error(spark):
     ads = spark.createDataFrame([("s#1",)], "GlobalJobId string")
     with pytest.raises(ValueError):

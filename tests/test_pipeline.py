@@ -194,7 +194,62 @@ def test_runs_are_repeatable(spark, tmp_path):
     assert {str(r.idx_date) for r in stored.collect()} == {"2024-01-29", "2024-01-30"}
     assert spark.read.json(broker).count() == 2
     marks = {r.schedd: r.last_completion for r in checkpoints.read_checkpoints(spark, state).collect()}
-    assert marks == {"vo@a": NOW - 50, "vo@b": NOW - 5}
+    assert marks == {"vo@a": NOW - 50, "vo@b": NOW - 12 * 3600}  # the unusable record does not count
+
+
+def test_both_feeds_of_a_run_stay(spark, tmp_path):
+    done = ads(spark, [("vo@a#1", 4, NOW - 10, NOW - 100), ("vo@a#9", None, NOW - 10, NOW - 1)])
+    queued = ads(spark, [("vo@a#2", 2, NOW - 10, NOW - 100), ("vo@b#3", 2, NOW - 10, NOW - 100)])
+    queued = queued.withColumn("x509userproxysubject", F.lit("/2")).withColumn(
+        "CMS_Pool", F.when(F.col("GlobalJobId") == "vo@b#3", "Own")
+    )
+    known = spark.createDataFrame([("vo@a", "Global")], "Name string, CMS_Pool string")
+    people = spark.createDataFrame(
+        [("ann", "B", "Y", "/2")], "login string, institute string, country string, dn string"
+    )
+    index, broker, bad = (str(tmp_path / name) for name in ("index", "broker", "bad"))
+    config = RunConfig(
+        launch_time=NOW, index_paths=(index,), broker_path=broker, quarantine_path=bad,
+        feed_index=True, feed_index_for_queue=True, feed_broker=True, process_queue=True,
+    )
+    run(spark, done, queued, config, Dimensions(known, people))
+    stored = {r.GlobalJobId: (r.CMS_Pool, r.AffiliationInstitute) for r in sinks.read_index(spark, index).collect()}
+    assert stored == {"vo@a#1": ("Global", None), "vo@a#2": ("Global", "B"), "vo@b#3": ("Own", "B")}
+    assert spark.read.json(broker).count() == 3
+    kept = spark.read.parquet(bad)
+    assert [(r.GlobalJobId, r.reasons, r.feed) for r in kept.collect()] == [
+        ("vo@a#9", ["JobStatus is missing"], "condor_history")
+    ]
+
+
+def test_state_moves_over_written_documents_only(spark, tmp_path):
+    rows = [(f"vo@a#{i}", 4, NOW - 10, NOW - 5000 + i * 1000) for i in range(5)]
+    records = ads(spark, [*rows, ("vo@b#1", 4, NOW - 10, NOW - 7)])
+    index, state = str(tmp_path / "index"), str(tmp_path / "state")
+    common = dict(index_paths=(index,), state_path=state, feed_index=True, schedulers="vo@a", max_documents=1)
+    run(spark, records, None, RunConfig(launch_time=NOW, **common))
+    marks = lambda: {r.schedd: r.last_completion for r in checkpoints.read_checkpoints(spark, state).collect()}
+    assert marks() == {"vo@a": NOW - 4000}
+    for later in range(1, 4):
+        run(spark, records, None, RunConfig(launch_time=NOW + later, **common))
+    assert marks() == {"vo@a": NOW - 1000}
+    assert {r.GlobalJobId for r in sinks.read_index(spark, index).collect()} == {f"vo@a#{i}" for i in range(5)}
+
+
+def test_full_records_run_in_time(spark, sf, tmp_path):
+    """A run over records with all attributes gets through the optimizer."""
+    import time
+
+    from poolscope.sources.samples import LAUNCH_TIME, sample_ads
+
+    records = sample_ads(spark, sf, maps=True).limit(20)
+    config = RunConfig(
+        launch_time=LAUNCH_TIME, index_paths=(str(tmp_path / "index"),), feed_index=True,
+        feed_index_for_queue=True, process_queue=True, history_minutes=39 * 1440,
+    )
+    started = time.time()
+    done = run(spark, records, records, config)
+    assert set(done) == {"history", "queue"} and time.time() - started < 90
 
 
 def test_dry_and_read_only_runs_write_nothing(spark, tmp_path):
