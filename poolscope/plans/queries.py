@@ -744,6 +744,67 @@ def streamed_logs(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("event_id", "message_type", "schedd_name", F.col("index"))
 
 
+# ----------------------------------------------------------------------------------- runs
+
+_ONE_RUN = dict(launch_time=LAUNCH_TIME, history_minutes=39 * 24 * 60)
+
+
+def history_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole history run over full records, read back from its index."""
+    from poolscope.plans.runs import RunConfig, run
+
+    target = scratch_path(spark, "history-run")
+    config = RunConfig(**_ONE_RUN, feed_index=True, index_paths=(target,))
+    run(spark, sample_ads(tune(spark), sf, maps=True), None, config)
+    fields = ["doc_id", "index", "CMS_Pool", "Status", "ExitCode", "Site", "CoreHr"]
+    return _rounded(sinks.read_index(spark, target).select(fields))
+
+
+def queue_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole queue run with skimmed documents, pools and affiliations, read back from its index.
+
+    Every ninth record states its own pool.
+    """
+    from poolscope.plans.runs import Dimensions, RunConfig, run
+
+    target = scratch_path(spark, "queue-run")
+    config = RunConfig(
+        **_ONE_RUN, process_queue=True, feed_index_for_queue=True, index_paths=(target,)
+    )
+    own = F.when(F.col("event_id") % 9 == 0, F.lit("Own"))
+    ads = sample_ads(tune(spark), sf, maps=True).withColumn("CMS_Pool", own)
+    known = registry.schedulers(_registry(spark, sf), _pools(spark, sf))
+    run(spark, None, ads, config, Dimensions(known, _directory(spark, sf)))
+    fields = ["doc_id", "CMS_Pool", "Status", "CoreHr", "AffiliationInstitute", "AffiliationCountry"]
+    return _rounded(sinks.read_index(spark, target).select(fields))
+
+
+def run_then_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and state of each scheduler after a run of both feeds with a list and a cap."""
+    from poolscope.plans.runs import RunConfig, run
+    from poolscope.sources.checkpoints import read_checkpoints
+
+    target = scratch_path(spark, "run-then-state")
+    config = RunConfig(
+        **_ONE_RUN,
+        process_queue=True,
+        feed_index=True,
+        feed_index_for_queue=True,
+        index_paths=(target + "/index",),
+        state_path=target + "/state",
+        schedulers="crab3@sched1.example.org,crab3@sched4.example.org",
+        max_documents=100,
+    )
+    ads = sample_ads(tune(spark), sf, maps=True)
+    run(spark, ads, ads, config)
+    counts = (
+        sinks.read_index(spark, target + "/index")
+        .groupBy(F.col("ScheddName").alias("schedd"))
+        .agg(F.count("*").alias("documents"))
+    )
+    return read_checkpoints(spark, target + "/state").join(counts, "schedd", "left")
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -798,5 +859,8 @@ QUERIES = {
         line_item_documents,
         streamed_documents,
         streamed_logs,
+        history_run,
+        queue_run,
+        run_then_state,
     )
 }

@@ -311,6 +311,16 @@ _ENTRY_SITE = f"""CASE WHEN {_ENTRY} THEN
   ELSE coalesce(MATCH_EXP_JOBGLIDEIN_ResourceName, 'UNKNOWN') END"""
 _ACTIVE = "st IN ('Running', 'Idle', 'Held')"
 
+_MONITORED = "JobUniverse = 5 AND CMS_Type <> 'DONOTMONIT'"
+_FINISHED = f"""{_MONITORED} AND (EnteredCurrentStatus >= {L} - 39 * 86400 - 720
+  OR CRAB_PostJobLastUpdate >= {L} - 39 * 86400 - 720)"""
+_QUEUED = f"""{_MONITORED} AND (JobStatus NOT IN (3, 4) OR EnteredCurrentStatus >= {L} - 3660
+  OR CRAB_PostJobLastUpdate >= {L} - 3660)"""
+_LISTED = "split_part(GlobalJobId, '#', 1) IN ('crab3@sched1.example.org', 'crab3@sched4.example.org')"
+_CAPPED = "QUALIFY row_number() OVER (PARTITION BY schedd ORDER BY EnteredCurrentStatus, GlobalJobId) <= 101"
+_IN_FEED = f"{docs(where='{}')} SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id, schedd, EnteredCurrentStatus FROM d {_CAPPED}"
+
+
 REFERENCE_SQL: dict[str, str] = {
     "job_status_docs": f"""{docs()} SELECT GlobalJobId, GlobalJobId || '#' || rt::VARCHAR AS doc_id, rt AS RecordTime,
   coalesce(nullif(CompletionDate, 0), {L}) AS DataCollection, rt AS DataCollectionDate, schedd AS ScheddName,
@@ -515,4 +525,19 @@ SELECT st AS Status, site AS Site, c AS occurrences FROM n QUALIFY row_number()
   round(core_hr, 6) AS CoreHr FROM d""",
     "streamed_logs": f"""{LOGS} SELECT event_id, message_types[1] AS message_type, schedd_name,
   'logmon-spider-' || {_LOG_DAY} AS index FROM parsed""",
+    "history_run": f"""{docs(where=_FINISHED)} SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id,
+  'jobs-' || strftime(make_timestamp(QDate * 1000000), '%Y-%m-%d') AS index, 'Unknown' AS CMS_Pool, st AS Status,
+  code AS ExitCode, site AS Site, round(core_hr, 6) AS CoreHr FROM d""",
+    "queue_run": f"""{REGISTRY}, {DIRECTORY.removeprefix("WITH ")}, {docs(where=_QUEUED).removeprefix("WITH ")}
+SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id,
+  CASE WHEN event_id % 9 = 0 THEN 'Own' ELSE coalesce(CMS_Pool, 'Unknown') END AS CMS_Pool, st AS Status,
+  round(core_hr, 6) AS CoreHr, coalesce(a.institute, b.institute) AS AffiliationInstitute,
+  coalesce(a.country, b.country) AS AffiliationCountry
+FROM d LEFT JOIN schedulers ON Name = schedd LEFT JOIN directory a ON a.login = CRAB_UserHN
+LEFT JOIN directory b ON CRAB_UserHN IS NULL AND b.dn = x509userproxysubject""",
+    "run_then_state": f"""WITH history AS ({_IN_FEED.format(_FINISHED + " AND " + _LISTED)}),
+queue AS ({_IN_FEED.format(_QUEUED + " AND " + _LISTED)}),
+written AS (SELECT doc_id, schedd FROM history UNION SELECT doc_id, schedd FROM queue)
+SELECT schedd, greatest(max(EnteredCurrentStatus), {L} - 39 * 86400) AS last_completion,
+  (SELECT count(*) FROM written w WHERE w.schedd = history.schedd) AS documents FROM history GROUP BY schedd""",
 }
