@@ -382,6 +382,19 @@ def test_document_stream_adds_only_new_documents(spark, tmp_path):
     assert consume() == ["vo@a#1", "vo@a#2", "vo@a#3"]
 
 
+def test_stream_quarantine(spark, tmp_path):
+    folder, index, state, bad = (str(tmp_path / name) for name in ("in", "index", "state", "bad"))
+    records = ads(spark, [("vo@a#1", 3, NOW, NOW), ("vo@a#2", None, NOW, NOW)])
+    records.coalesce(1).write.parquet(folder)
+    source = ad_source.read_ads_stream(spark, folder, records.schema)
+    fields = "doc_id GlobalJobId QDate RecordTime EnteredCurrentStatus Status _error".split()
+    docs = document_stream(source, NOW, keep_unusable=True, fields=fields)
+    write_stream(docs, state, template="jobs", index_paths=[index], quarantine_path=bad).awaitTermination()
+    assert [r.GlobalJobId for r in sinks.read_index(spark, index).collect()] == ["vo@a#1"]
+    kept = spark.read.parquet(bad).collect()
+    assert [(r.GlobalJobId, r.reasons) for r in kept] == [("vo@a#2", ["JobStatus is missing"])]
+
+
 def test_stateful_dedupe(spark, tmp_path):
     folder = str(tmp_path / "in")
     ads(spark, [("vo@a#1", 3, NOW, NOW)] * 3).coalesce(1).write.parquet(folder)
