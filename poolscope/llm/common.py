@@ -30,9 +30,9 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 40) ->
     """Smallest reachable node of every node that has an edge, as ``(node, component)``.
 
     ``edges`` has the columns ``a`` and ``b`` of one orderable type. Large-star and small-star steps
-    alternate until nothing changes; each step is an aggregate (combined before the shuffle) and a join
-    with its result, so a node with very many edges is no task of its own. Every round is written to the
-    shared folder. A null end or a loop is no edge.
+    alternate until only stars are left, which the aggregate that a round needs anyway shows. Each step is an
+    aggregate (combined before the shuffle) and a join with its result, so a node with very many edges is no
+    task of its own. Every round is written to the shared folder. A null end or a loop is no edge.
     """
     now = stored(
         edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
@@ -40,24 +40,16 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 40) ->
         .distinct(),
         f"{label}-edges",
     )
-    before = None
     for _ in range(max_rounds):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = large.filter("a > b").distinct()
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            down.join(least, "a")
-            .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-            .filter("a > b")
-            .distinct()
-        )
-        now = stored(small, f"{label}-stars")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            return now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
-        before = state
+        near = stored(both.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")), f"{label}-near")
+        least = F.least("a", "low")
+        # centres have larger neighbours only, all others have one neighbour
+        if near.filter("low < a AND low <> high").isEmpty():
+            return near.select(F.col("a").alias("node"), least.alias("component"))
+        # every end above a node goes to the node's least neighbour, then all below an end go to the least of them
+        down = now.join(near.select(F.col("a").alias("b"), least.alias("m")), "b").select("a", F.col("m").alias("b"))
+        lowest = down.groupBy("a").agg(F.min("b").alias("m"))
+        small = down.join(lowest, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        now = stored(small.filter("a > b").distinct(), f"{label}-stars")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -206,15 +206,15 @@ class _Join:
         sizes = stats.filter("segment IS NULL").select("doc_id", "n_shingles", "s1", "s2")
         self.classes = stored(
             sizes.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-        links = self._links(self.context.broadcast(_sketch(stats)))
-        merged = connected_components(links, "jaccard")
+        merged = self._components(self.context.broadcast(_sketch(stats)))
         named = self.classes.join(merged, F.col("rep") == F.col("node"), "left").withColumn(
             "component", F.coalesce("component", "rep"))
         return sizes.join(named.select("s1", "s2", "component"), ["s1", "s2"], "left").select(
             "doc_id", "n_shingles",
             F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
-    def _links(self, sketch) -> DataFrame:
+    def _components(self, sketch) -> DataFrame:
+        """Smallest reachable id (``component``) of every class that has a link, by its smallest id (``node``)."""
         schema = "token long, class long, place long"
         prefixes = self.docs.select("text").mapInArrow(_prefixes(self.width, self.percent, sketch), schema)
         # a token that very many documents seem to have is dealt over salts, with a pivot for each
@@ -237,20 +237,21 @@ class _Join:
         found = self._verify(pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")))
         # two rows are settled by their pivot, and so are a pivot's own pairs unless its token is dealt over salts
         tokens = shared.filter("hot OR more AND class <> pivot").select("token", "class", "n", "pos").distinct()
+        merged = connected_components(found, "jaccard")
         for number in range(self.rounds + 1):
-            opened, left = self._open(tokens, found)
+            opened, left = self._open(tokens, merged)
             if left == 0:
-                return found
+                break
             again = number < self.rounds and left > MANY * opened.count()
             more = self._verify(self._pivot_pairs(opened, number) if again else self._all_pairs(opened))
-            found = stored(found.union(more), "jaccard-links")
+            merged = connected_components(more.union(merged.select("node", "component")), "jaccard")
             if not again:
-                return found
-        return found
+                break
+        return merged
 
-    def _open(self, tokens: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+    def _open(self, tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
         """Rows of tokens that classes of different components share, and how many pairs they would make."""
-        labels = connected_components(found, "jaccard-round").join(self.classes, F.col("node") == F.col("rep")).select(
+        labels = merged.join(self.classes, F.col("node") == F.col("rep")).select(
             F.col("s1").alias("class"), "component")
         # a class that is linked with nothing is its own component; the mark keeps its hash apart from ids
         marked = tokens.join(labels, "class", "left").withColumn(
@@ -289,9 +290,8 @@ class _Join:
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """Links between the smallest ids of classes, of candidate pairs of set hashes."""
-        pairs = stored(pairs.distinct(), "jaccard-pairs")
         reps = self.classes.select("s1", "rep")
-        named = pairs.join(reps.toDF("a", "rep_a"), "a").join(reps.toDF("b", "rep_b"), "b")
+        named = pairs.distinct().join(reps.toDF("a", "rep_a"), "a").join(reps.toDF("b", "rep_b"), "b")
         named = stored(named.select("rep_a", "rep_b"), "jaccard-named")
         bits = np.zeros(FILTER_BITS, dtype=bool)
         ids = named.select(F.col("rep_a").alias("id")).union(named.select("rep_b"))
