@@ -92,19 +92,29 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
 
 
 def _segments(sketch: np.ndarray) -> pa.Array:
-    return pa.array([part.tobytes() for part in sketch.reshape(SEGMENTS, -1)], pa.binary())
+    """Counters of each segment that are not zero: their 16-bit places, then their 64-bit counts."""
+    parts = []
+    for part in sketch.reshape(SEGMENTS, -1):
+        used = np.flatnonzero(part)
+        parts.append(used.astype(np.uint16).tobytes() + part[used].tobytes())
+    return pa.array(parts, pa.binary())
+
+
+def _add_segment(sums: np.ndarray, counts) -> None:
+    """Add the counters of one segment in place."""
+    n = len(counts) // 10
+    sums[np.frombuffer(counts, np.uint16, n)] += np.frombuffer(counts, np.int64, n, offset=2 * n)
 
 
 def _sum_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per segment with the sum of its counts; holds the sketch and one batch."""
-    sums: dict[int, np.ndarray] = {}
+    sums, some = np.zeros(SKETCH, dtype=np.int64).reshape(SEGMENTS, -1), False
     for batch in batches:
         for segment, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            part = np.frombuffer(counts.as_buffer(), dtype=np.int64)
-            sums[segment] = sums[segment] + part if segment in sums else part
-    if sums:
-        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-                              names=["segment", "counts"])
+            _add_segment(sums[segment], counts.as_buffer())
+            some = True
+    if some:
+        yield pa.record_batch([pa.array(range(SEGMENTS), pa.int32()), _segments(sums)], names=["segment", "counts"])
 
 
 def _sketch(stats: DataFrame) -> np.ndarray:
@@ -114,7 +124,7 @@ def _sketch(stats: DataFrame) -> np.ndarray:
     parts = parts.repartition("segment").mapInArrow(_sum_segments, kind)
     sketch = np.zeros((SEGMENTS, SKETCH // SEGMENTS), dtype=np.int64)
     for row in parts.collect():
-        sketch[row.segment] = np.frombuffer(row.counts, dtype=np.int64)
+        _add_segment(sketch[row.segment], row.counts)
     return np.minimum(sketch.ravel(), 2**31 - 1).astype(np.int32)
 
 
@@ -239,18 +249,18 @@ class _Join:
         tokens = shared.filter("hot OR more AND class <> pivot").select("token", "class", "n", "pos").distinct()
         merged = connected_components(found, "jaccard")
         for number in range(self.rounds + 1):
-            opened, left = self._open(tokens, merged)
+            opened, rows, left = self._open(tokens, merged)
             if left == 0:
                 break
-            again = number < self.rounds and left > MANY * opened.count()
+            again = number < self.rounds and left > MANY * rows
             more = self._verify(self._pivot_pairs(opened, number) if again else self._all_pairs(opened))
             merged = connected_components(more.union(merged.select("node", "component")), "jaccard")
             if not again:
                 break
         return merged
 
-    def _open(self, tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
-        """Rows of tokens that classes of different components share, and how many pairs they would make."""
+    def _open(self, tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int, int]:
+        """Rows of tokens that classes of different components share, their number, and how many pairs they would make."""
         labels = merged.join(self.classes, F.col("node") == F.col("rep")).select(
             F.col("s1").alias("class"), "component")
         # a class that is linked with nothing is its own component; the mark keeps its hash apart from ids
@@ -261,7 +271,9 @@ class _Join:
         opened = stored(marked.join(several.select("token"), "token"), "jaccard-open")
         parts = opened.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token").agg(
             F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("own"))
-        return opened, int(parts.agg(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)).first()[0] or 0)
+        pairs = F.sum((F.col("all") * F.col("all") - F.col("own")) / 2)
+        rows, left = parts.agg(F.sum("all"), pairs).first()
+        return opened, rows or 0, int(left or 0)
 
     def _pivot_pairs(self, opened: DataFrame, number: int) -> DataFrame:
         """Every class against some others of the token it shares with most; other ones in each round.
@@ -302,7 +314,7 @@ class _Join:
         sets = stored(sets, "jaccard-sets")
         both = named.join(sets.toDF("rep_a", "tokens_a"), "rep_a").join(sets.toDF("rep_b", "tokens_b"), "rep_b")
         both = both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "tokens_a", "tokens_b")
-        return stored(both.mapInArrow(_verified(self.percent), "a long, b long"), "jaccard-links")
+        return both.mapInArrow(_verified(self.percent), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, rounds: int = 1) -> DataFrame:
