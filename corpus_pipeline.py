@@ -3,8 +3,8 @@
 Each stage works on all rows its predecessor kept; all but the last return the columns of ``documents``. Between stages
 the rows are written as Parquet to the shared folder and read again.
 
-Rows without an id pass the stages that compare documents (they can be in no group and no pair). Rows that repeat an id
-are one document from the second stage on. Null and empty texts are no language and go in the first stage.
+Rows without an id pass the stage that compares documents (they can be in no group and no pair); leaks and secrets are
+looked for in them as in any other. Rows that repeat an id are one document from the second stage on. Null and empty texts are no language and go in the first stage.
 """
 
 from __future__ import annotations
@@ -37,8 +37,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a benchmark item's template go."""
-    leaks = templates.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    # a key of each row, stored so that it stays the same: each row is compared with the benchmark alone, with or without an id
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-leak-rows")
+    rows = keyed.select(F.col("_row").alias("doc_id"), "text")
+    leaks = templates.contaminated(rows, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row")).distinct()
+    return keyed.join(leaks, "_row", "left_anti").select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,14 +35,23 @@ FEATURES = ["length", "digits", "upper", "lower", "marks", "turns", "case_turns"
             "credential_near", "assigned", "hash_near", "quoted"]
 
 
+def text_key() -> Column:
+    """A text's findings depend on the text alone, so this joins them with every row that has it, with or without an id.
+
+    Texts that share a key share their secrets too, so each still gets all of its own.
+    """
+    return F.xxhash64(F.col("text").cast("string")).alias("text_key")
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, number of the word, candidate, and the words around it. One row per candidate."""
+    """``doc_id``, key of the text, number of the word, candidate, and the words around it. One row per candidate."""
     words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPLIT), lambda w: w != "")
     near = F.transform("_words", lambda w, i: F.struct(
         i.alias("word_no"), w.alias("word"), F.get("_words", i - 1).alias("before"), F.get("_words", i - 2).alias("before2"),
         F.get("_words", i + 1).alias("after")))
     found = F.filter(near, lambda x: (F.length(x["word"]) >= LEAST) & x["word"].rlike(CANDIDATE))
-    rows = docs.select("doc_id", words.alias("_words")).select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.*")
+    rows = docs.select("doc_id", text_key(), words.alias("_words"))
+    rows = rows.select("doc_id", "text_key", F.explode(found).alias("x")).select("doc_id", "text_key", "x.*")
     return rows.withColumn("candidate", F.explode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))))
 
 
@@ -119,15 +128,18 @@ def scan(docs: DataFrame, least_score: float = 0.5, known: DataFrame | None = No
     else:
         scored = model.transform(_assembled(rows)).withColumn("score", vector_to_array("probability")[1])
     return scored.withColumn("is_secret", F.col("score") >= least_score).select(
-        "doc_id", "word_no", "candidate", *FEATURES, "label", "score", "is_secret")
+        "doc_id", "text_key", "word_no", "candidate", *FEATURES, "label", "score", "is_secret")
 
 
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret replaced in the texts of its document; rows and columns stay as they are."""
-    found = findings.filter("is_secret").groupBy("doc_id").agg(F.array_sort(F.collect_set("candidate")).alias("_secrets"))
+    """``docs`` with every secret replaced in the texts that it was found in; rows and columns stay as they are.
+
+    Findings are joined by the key of their text: rows need no id for that.
+    """
+    found = findings.filter("is_secret").groupBy("text_key").agg(F.array_sort(F.collect_set("candidate")).alias("_secrets"))
     # longest first, so that no secret is part of one replaced later
     ordered = F.reverse(F.array_sort(F.transform("_secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
     clean = F.aggregate(ordered, F.col("text"), lambda t, s: F.replace(t, s["s"], F.lit(mark)))
-    ids = found.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(ids, docs["doc_id"] == F.col("_id"), "left")
-    return joined.withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)).drop("_id", "_secrets")
+    keys = found.withColumnRenamed("text_key", "_key")
+    joined = docs.join(keys, F.when(docs["text"].isNotNull(), F.xxhash64(docs["text"].cast("string"))) == F.col("_key"), "left")
+    return joined.withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)).drop("_key", "_secrets")

@@ -12,7 +12,8 @@ benchmark. A document's windows of one item are counted before the join's result
 
 Results by case: null or empty texts, and texts of fewer words than any item's window, match nothing. Items shorter than
 ``least`` words are left out (they would be found by chance). Items with equal texts each match. Repeated documents match
-each; rows that repeat an id count together. Extra columns are ignored; an empty table on either side gives no rows.
+each; rows that repeat an id, and those without one, count together (a caller that must tell them apart gives a key
+of rows as the id). Extra columns are ignored; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations

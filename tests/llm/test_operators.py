@@ -365,6 +365,19 @@ def test_pipeline(spark, documents):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_rows_without_ids_lose_secrets_and_leaks(spark):
+    documents = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")  # the smaller table has no secrets
+    bare = documents.withColumn("doc_id", F.lit(None).cast("long"))
+    given = bare.filter(F.col("text").rlike('token = "[0-9a-f]{40}"'))
+    assert given.count() > 0
+    clean = corpus_pipeline.redact_secrets(spark, bare, SF)
+    assert clean.count() == bare.count() and clean.filter(F.col("text").rlike('token = "[0-9a-f]{40}"')).count() == 0
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    docs = rows(spark, [(None, "Before it. " + item + " After it."), (None, BASE), (None, None), (5, BASE), (6, item)])
+    left = corpus_pipeline.drop_benchmark_leaks(spark, docs, SF).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter([(None, BASE), (None, None), (5, BASE)])
+
+
 @pytest.mark.parametrize("which", ["odd", "none"])
 def test_pipeline_stages_of_odd_rows(spark, request, which):
     docs = request.getfixturevalue(which)
