@@ -6,7 +6,8 @@ common words of the corpus cover, whether it is part of a path or address, and t
 trained on labelled findings: given ones, or, where there are none, those that ``labelled`` can label by strict
 rules (an assignment to a credential's name, a known issuer's form; against plain words, numbers and addresses).
 
-Training uses at most about ``TRAINING_ROWS`` findings of either label, chosen by hash. The common words are counted
+Training uses at most about ``TRAINING_ROWS`` different findings of either label, chosen by hash and weighted by how often
+they occur (``MOST_WEIGHT`` at most). The common words are counted
 over all documents; ``COMMON_WORDS`` of them are used. Everything else covers all rows.
 
 Results by case: null or empty text has no findings. Repeated rows have their findings each. Without labelled
@@ -26,6 +27,7 @@ from poolscope.llm.common import stored
 
 LEAST = 16
 TRAINING_ROWS = 20_000
+MOST_WEIGHT = 10
 COMMON_WORDS = 200
 SPLIT = r"[\x20\x09-\x0D]+"
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
@@ -104,16 +106,27 @@ def _assembled(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
 
 
-def train(rows: DataFrame, seed: int = 7) -> RandomForestClassificationModel | None:
-    """A forest fitted to a bounded choice of labelled findings; None unless both labels occur."""
-    known = rows.filter("label IS NOT NULL").select("label", *FEATURES)
+def drawn(rows: DataFrame) -> DataFrame:
+    """At most about ``TRAINING_ROWS`` different labelled findings of either label, with ``weight``: how often each occurs, bounded.
+
+    Equal findings are one row before anything is sized, so copies neither push others out nor fill the sample.
+    """
+    known = rows.filter("label IS NOT NULL").groupBy("label", *FEATURES).agg(F.count("*").alias("_n"))
+    known = stored(known.select("label", *FEATURES, F.least("_n", F.lit(MOST_WEIGHT)).cast("double").alias("weight")), "secrets-labelled")
     sizes = {row.label: row["count"] for row in known.groupBy("label").count().collect()}
-    if len(sizes) < 2:
-        return None
+    if not sizes:
+        return known
     share = F.create_map(*(x for label, n in sizes.items() for x in (F.lit(label), F.lit(min(1.0, TRAINING_ROWS / n)))))
-    chosen = known.filter(F.pmod(F.xxhash64(*FEATURES), F.lit(1_000_000)) < share[F.col("label")] * 1_000_000)
-    chosen = stored(chosen.repartition(1).sortWithinPartitions("label", *FEATURES), "secrets-training")
-    forest = RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, featuresCol="features", labelCol="label", cacheNodeIds=False)
+    return known.filter(F.pmod(F.xxhash64(*FEATURES), F.lit(1_000_000)) < share[F.col("label")] * 1_000_000)
+
+
+def train(rows: DataFrame, seed: int = 7) -> RandomForestClassificationModel | None:
+    """A forest fitted to a bounded choice of labelled findings; None unless both labels are in it."""
+    chosen = stored(drawn(rows).repartition(1).sortWithinPartitions("label", *FEATURES), "secrets-training")
+    if chosen.select("label").distinct().count() < 2:
+        return None
+    forest = RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed, featuresCol="features", labelCol="label", weightCol="weight",
+                                    cacheNodeIds=False)
     return forest.fit(_assembled(chosen))
 
 

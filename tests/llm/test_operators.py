@@ -317,6 +317,16 @@ def test_secrets(spark, odd, none):
     assert secretscan.redact(odd, secretscan.scan(odd)).count() == len(TEXTS)
 
 
+def test_copies_of_a_finding_leave_others_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(secretscan, "TRAINING_ROWS", 100)
+    zeros = [F.lit(0.0).alias(k) for k in secretscan.FEATURES[1:]]
+    # 5000 copies of one secret beside 60 others, 5000 copies of one plain finding beside 60
+    number = F.when(F.col("id") % 5060 < 60, F.col("id") % 5060).otherwise(60).cast("double")
+    found = spark.range(10_120).select((F.col("id") < 5060).cast("double").alias("label"), number.alias("length"), *zeros)
+    kept = secretscan.drawn(found).collect()
+    assert Counter(r.label for r in kept) == {0.0: 61, 1.0: 61} and {r.weight for r in kept} == {1.0, 10.0}
+
+
 # ---------------------------------------------------------------- 10 near duplicates
 
 
