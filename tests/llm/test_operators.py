@@ -163,6 +163,15 @@ def test_language(spark, documents, odd, none):
     assert langid.predict(none, net).count() == 0
 
 
+def test_copies_of_a_text_leave_others_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "train", lambda windows, labels, languages: (Counter(labels.tolist()), languages))
+    texts = [(k, f"text number {min(k, 100)}") for k in range(3000)]
+    docs = rows(spark, texts, "aa").union(rows(spark, [(k, f"words of {k}") for k in range(40)], "bb"))
+    counts, languages = langid.fit(docs, langid.Sample(50, 4))
+    # about 50 of 101 texts and all 40, each of one window
+    assert languages == ("aa", "bb") and 25 <= counts[0] <= 75 and counts[1] == 40
+
+
 # ---------------------------------------------------------------- 4 token files
 
 
