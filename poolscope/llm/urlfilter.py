@@ -6,7 +6,7 @@ canonical links and the canonical form of addresses connect are one class, found
 A class with a blocked address blocks its unruled ones, unless an address of the class is explicitly allowed: allow
 has precedence. Without either, the address is allowed.
 
-Edges are: the page's canonical link and refresh target in its HTML, edges given by the caller, and each address to its
+Edges are: the page's canonical link and refresh target in its HTML, resolved against the page's address, edges given by the caller, and each address to its
 canonical form (no scheme, fragment, tracking parameters, leading ``www.`` or final slash), which servers redirect to.
 
 Rules are joined by host suffix, so they may be many; the counting of a class is combined before the shuffle.
@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 from poolscope.llm.common import connected_components, stored
 
 ALLOW, BLOCK = "allow", "block"
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)"""
+CANONICAL = (r"""(?is)<link\b(?=[^>]*\srel\s*=\s*(?:"(?:[^">]*\s)?canonical["\s]|'(?:[^'>]*\s)?canonical['\s]|canonical[\s/>]))"""
+             r"""[^>]*\shref\s*=\s*["']?\s*([^"'\s>]+)""")
+BASE = r"""(?is)<base\b[^>]*\shref\s*=\s*["']?\s*([^"'\s>]+)"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?\s*([^"'\s>]+)"""
 TRACKING = r"(^|&)(utm_[a-z]+|ref|gclid|fbclid)=[^&]*"
 
 
@@ -62,15 +65,52 @@ def _ruled(addresses: DataFrame, rules: DataFrame) -> DataFrame:
         "host", "path", "best.rule", F.when(F.col("best.allowed"), ALLOW).otherwise(BLOCK).alias("action"))
 
 
+def _undotted(path: Column) -> Column:
+    """The path without its ``.`` and ``..`` parts."""
+    parts = F.split(path, "/")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.array_join(F.aggregate(parts, F.slice(parts, 1, 0), step), "/")
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(kept, F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""))).otherwise(path)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The address that a link target of the page at ``url`` means; null if it means none (no address, other scheme)."""
+    target = F.regexp_replace(target, r"(?i)&(amp|#38|#x26);", "&")
+    start = F.regexp_extract(url, "^([^/?#]*:)//", 1)
+    site = F.regexp_extract(url, "^([^/?#]*://[^/?#]*)", 1)
+    folder = F.concat(F.regexp_extract(path_of(url), "^(.*/)", 1), F.lit(""))
+    folder = F.when(folder == "", "/").otherwise(folder)
+    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
+    page = F.concat(site, path_of(url))
+    path, rest = F.regexp_extract(target, "^([^?#]*)", 1), F.regexp_extract(target, "^[^?#]*(.*)$", 1)
+    absolute = F.when(path.contains("://"), target).when(target.rlike(SCHEME), None)
+    relative = (F.when(target.startswith("//"), F.concat(start, target))
+                .when(target.startswith("/"), F.concat(site, _undotted(path), rest))
+                .when(target.startswith("?"), F.concat(page, target))
+                .when(target.startswith("#"), F.concat(page, query, target))
+                .otherwise(F.concat(site, _undotted(F.concat(folder, path)), rest)))
+    return F.when(target == "", None).when(path.contains("://") | target.rlike(SCHEME), absolute).when(site != "", relative)
+
+
 def links_of(pages: DataFrame) -> DataFrame:
-    """Canonical links and refresh targets of pages, as ``a`` (the page's address) and ``b``."""
-    html = F.col("html").cast("string")
+    """Canonical links and refresh targets of pages, as ``a`` (the page's address) and ``b``.
+
+    Relative targets are resolved against the page's ``base`` if it has one, else its address.
+    """
+    html, low = F.col("html").cast("string"), _lower(F.col("html").cast("string"))
     found = F.array(
-        F.when(html.contains("canonical"), F.regexp_extract(html, CANONICAL, 1)),
-        F.when(_lower(html).contains("refresh"), F.regexp_extract(html, REFRESH, 1)),
+        F.when(low.contains("canonical"), F.regexp_extract(html, CANONICAL, 1)),
+        F.when(low.contains("refresh"), F.regexp_extract(html, REFRESH, 1)),
     )
-    rows = pages.filter("url IS NOT NULL AND html IS NOT NULL").select(F.col("url").alias("a"), F.explode(found).alias("b"))
-    return rows.filter(F.col("b").contains("://")).distinct()
+    rows = pages.filter("url IS NOT NULL AND html IS NOT NULL").select(
+        F.col("url").cast("string").alias("a"), F.explode(F.filter(found, lambda x: x != "")).alias("target"),
+        F.when(low.contains("<base"), F.regexp_extract(html, BASE, 1)).alias("base"))
+    rows = rows.withColumn("base", F.coalesce(resolved(F.col("base"), F.col("a")), "a"))
+    return rows.select("a", resolved(F.col("target"), F.col("base")).alias("b")).filter("b IS NOT NULL").distinct()
 
 
 def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:

@@ -295,6 +295,23 @@ def test_redirect_classes(spark):
     assert urlfilter.judge(pages, rules.limit(0)).filter("verdict <> 'allow'").count() == 0
 
 
+def test_relative_links(spark):
+    link, refresh = "<link rel='canonical' href='{}'>", "<meta http-equiv=refresh content='0; url={}'>"
+    cases = [
+        (link.format("/es/a?x=1&amp;y=2"), "http://a.net/es/a?x=1&y=2"), (link.format("//b.net/es/"), "http://b.net/es/"),
+        (refresh.format("/es"), "http://a.net/es"), (refresh.format("x/../y.html"), "http://a.net/d/y.html"), (link.format("../es/z"), "http://a.net/es/z"),
+        (link.format("http://c.org/q"), "http://c.org/q"), (link.format("?p=2"), "http://a.net/d/p?p=2"), (link.format("mailto:x"), None),
+        ("<LINK HREF='/es/b' REL='CANONICAL'>", "http://a.net/es/b"), ('<link rel="shortlink canonical" href="/es/c">', "http://a.net/es/c"),
+        ("<base href='/es/'>" + link.format("d"), "http://a.net/es/d"), (link.format("/r?u=http://x.org"), "http://a.net/r?u=http://x.org"),
+        ("<link data-rel=canonical href='/no'>", None), ("<p>canonical", None)]
+    pages = spark.createDataFrame([(k, f"http://a.net/d/p?n={k}", html) for k, (html, _) in enumerate(cases)], "page_id long, url string, html string")
+    found = {int(r.a.split("=")[1]): r.b for r in urlfilter.links_of(pages).collect()}
+    assert [found.get(k) for k in range(len(cases))] == [b for _, b in cases]
+    rules = spark.createDataFrame([("net", "/es/", "block")], "host string, path string, action string")
+    verdicts = {r.page_id: r.verdict for r in urlfilter.judge(pages, rules).collect()}
+    assert {k for k, v in verdicts.items() if v == "block"} == {0, 1, 4, 8, 9, 10}
+
+
 # ---------------------------------------------------------------- 8 lines
 
 
