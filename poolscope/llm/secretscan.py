@@ -1,6 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest, in DataFrame operations only.
 
-A candidate is a run of at least ``LEAST`` characters of tokens and encodings inside a word. A random forest (Spark's
+A candidate is a run of at least ``LEAST`` characters of tokens and encodings inside a word, or, whatever its length and
+characters, a value assigned to a name with a credential word in it (quoted ones may have spaces) and the password in an
+address (``user:password@host``). Candidates may overlap. A random forest (Spark's
 own) judges it by length, kinds of characters and transitions between them, variety, the share of its letters that
 common words of the corpus cover, whether it is part of a path or address, and the words before and after it. It is
 trained on labelled findings: given ones, or, where there are none, those that ``labelled`` can label by strict
@@ -32,6 +34,16 @@ COMMON_WORDS = 200
 SPLIT = r"[\x20\x09-\x0D]+"
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
 CREDENTIAL = r"token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential"
+NAME = CREDENTIAL.replace("secret", "secret(?!ar)").replace("auth", "auth(?!or)")
+#: The value in one word with its name; the end of a word before a value; the sign between both; a password in an address.
+ASSIGNED = rf"""(?i)(?:{NAME})[^\s=:"'`]*["'`]?\]?(?::=|=>|==|=|:)(?!//)(.+)$"""
+ASSIGNING = rf"""(?i)(?:{NAME})[^\s=:]*(?::=|=>|==|=|:)$"""
+NAMED = rf"""(?i)(?:{NAME})[^\s=:]*$"""
+SIGN = "^(:=|=>|==|=|:)$"
+SIGNED = "^(?::=|=>|==|=|:)(.+)$"
+IN_ADDRESS = r"""[A-Za-z][A-Za-z0-9+.\-]*://[^\s/:@"']*:([^\s"']+)@[^\s@]|^["'(<]*[A-Za-z0-9._\-]+:([^\s:/@"']+)@[A-Za-z0-9]"""
+#: A value in quotes or brackets, its first word if it has spaces, and a bare value without what closes a statement.
+QUOTED, OPENED, BARE = r"""^(["'`])(.+?)\1""", r"""^(["'`])[^"'`]+$""", r"""^["'`(\[{<]*(.*?)["'`)\]}>,;]*$"""
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35})$"
 FEATURES = ["length", "digits", "upper", "lower", "marks", "turns", "case_turns", "variety", "hex", "covered", "path",
             "credential_near", "assigned", "hash_near", "quoted"]
@@ -51,10 +63,42 @@ def candidates(docs: DataFrame) -> DataFrame:
     near = F.transform("_words", lambda w, i: F.struct(
         i.alias("word_no"), w.alias("word"), F.get("_words", i - 1).alias("before"), F.get("_words", i - 2).alias("before2"),
         F.get("_words", i + 1).alias("after")))
-    found = F.filter(near, lambda x: (F.length(x["word"]) >= LEAST) & x["word"].rlike(CANDIDATE))
-    rows = docs.select("doc_id", text_key(), words.alias("_words"))
-    rows = rows.select("doc_id", "text_key", F.explode(found).alias("x")).select("doc_id", "text_key", "x.*")
-    return rows.withColumn("candidate", F.explode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))))
+    runs = F.when((F.length("word") >= LEAST) & F.col("word").rlike(CANDIDATE), F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0)))
+    found = F.filter(near, lambda x: (F.length(x["word"]) >= LEAST) & x["word"].rlike(CANDIDATE) | _value(x).isNotNull() | _password(x["word"]).isNotNull())
+    rows = docs.select("doc_id", text_key(), F.col("text").cast("string").alias("_text"), words.alias("_words"))
+    rows = rows.select("doc_id", "text_key", F.explode(F.transform(found, lambda x: F.struct(x.alias("x"), _values(x, F.col("_text")).alias("v")))).alias("y"))
+    rows = rows.select("doc_id", "text_key", "y.x.*", F.col("y.v").alias("_values"))
+    both = F.array_distinct(F.concat(F.coalesce(runs, F.array().cast("array<string>")), "_values"))
+    return rows.withColumn("candidate", F.explode(both)).drop("_values")
+
+
+def _value(x: Column) -> Column:
+    """What a word assigns to a credential's name, as it stands there, or null."""
+    inside = F.regexp_extract(x["word"], ASSIGNED, 1)
+    signed = F.regexp_extract(x["word"], SIGNED, 1)
+    before, before2 = F.coalesce(x["before"], F.lit("")), F.coalesce(x["before2"], F.lit(""))
+    follows = before.rlike(ASSIGNING) | before.rlike(SIGN) & before2.rlike(NAMED)
+    return (F.when(x["word"].rlike(ASSIGNED), inside).when(before.rlike(NAMED) & (signed != ""), signed)
+            .when(follows & ~x["word"].rlike(SIGN), x["word"]))
+
+
+def _password(word: Column) -> Column:
+    """The password of an address, or null."""
+    at = word.contains("@") & word.contains(":")
+    return F.when(at & word.rlike(IN_ADDRESS), F.concat(F.regexp_extract(word, IN_ADDRESS, 1), F.regexp_extract(word, IN_ADDRESS, 2)))
+
+
+def _values(x: Column, text: Column) -> Column:
+    """The assigned value and password of a word, as they stand in the text and are not empty."""
+    value = _value(x)
+    plain = F.when(value.rlike(QUOTED), F.regexp_extract(value, QUOTED, 2)).otherwise(F.regexp_extract(value, BARE, 1))
+    # quoted values with spaces begin like this word; to the same quote in the same line
+    literal = F.regexp_replace(value, r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]", r"\\$0")
+    mark = F.substring(value, 1, 1)
+    spaced = F.regexp_extract_all(text, F.concat(literal, F.lit("[^\n"), mark, F.lit("]*"), mark), F.lit(0))
+    spaced = F.transform(spaced, lambda v: F.substring(v, F.lit(2), F.length(v) - 2))
+    spaced = F.when(value.rlike(OPENED) & (F.length(value) > 1), spaced).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.concat(F.array(plain, _password(x["word"])), spaced), lambda v: v.isNotNull() & (F.trim(v) != ""))
 
 
 def common_words(docs: DataFrame) -> list[str]:
@@ -71,7 +115,7 @@ def _count(pattern: str) -> Column:
 def featured(found: DataFrame, words: list[str]) -> DataFrame:
     """The candidates with their features."""
     length = F.length("candidate").cast("double")
-    lead = F.expr("substring_index(word, candidate, 1)")
+    lead = F.expr(r"substring_index(word, regexp_extract(candidate, r'^(\S*)', 1), 1)")  # a candidate with spaces begins in its word
     context = F.lower(F.concat_ws(" ", "before2", "before", lead))
     covering = f"(?i){'|'.join(words)}" if words else "$^"
     columns = {
@@ -99,7 +143,10 @@ def labelled(rows: DataFrame) -> DataFrame:
     random = (F.col("variety") >= 0.2) & (F.col("digits") > 0.05) & (F.col("digits") < 1)
     given = (F.col("credential_near") == 1) & (F.col("assigned") == 1) & random & (F.col("path") == 0)
     plain = (F.col("digits") == 0) & (F.col("case_turns") < 0.1) | (F.col("digits") == 1) | (F.col("path") == 1) | (F.col("hash_near") == 1)
-    return rows.withColumn("label", F.when(F.col("candidate").rlike(ISSUED) | given, 1.0).when(plain & (F.col("credential_near") == 0), 0.0))
+    in_address = F.expr("contains(word, concat(':', candidate, '@'))")
+    common = (F.col("covered") == 1) & (F.col("digits") == 0)  # values of common words alone
+    return rows.withColumn("label", F.when(F.col("candidate").rlike(ISSUED) | given | in_address, 1.0).when(
+        plain & (F.col("credential_near") == 0) | common, 0.0))
 
 
 def _assembled(rows: DataFrame) -> DataFrame:

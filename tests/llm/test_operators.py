@@ -353,6 +353,22 @@ def test_copies_of_a_finding_leave_others_in_the_sample(spark, monkeypatch):
     assert Counter(r.label for r in kept) == {0.0: 61, 1.0: 61} and {r.weight for r in kept} == {1.0, 10.0}
 
 
+def test_short_and_broken_secrets_are_candidates(spark):
+    cases = {
+        'password = "Tr0ub4dor&3" end': "Tr0ub4dor&3", "api_key=Ab3dEf6hIj9k;": "Ab3dEf6hIj9k", "see postgres://user:p!s@db.x/y now": "p!s",
+        "user:hunter2@host.org": "hunter2", "the secret: abcdefghijklmnop.qrst!uvwx%yz": "abcdefghijklmnop.qrst!uvwx%yz",
+        '{"db_password":"x.y~z"}': "x.y~z", 'pwd = "correct horse  battery" # x': "correct horse  battery", "token =a@b": "a@b",
+        "MY_SECRET: 'a b' and": "a b", "https://h.org/a:b see http://x:80/": None, "a plain text: of words = here": None}
+    found = secretscan.candidates(rows(spark, list(enumerate(cases)))).collect()
+    texts = list(cases)
+    for k, (text, wanted) in enumerate(cases.items()):
+        own = {r.candidate for r in found if r.doc_id == k}
+        assert wanted in own if wanted else not own, (text, own)
+    assert all(r.candidate in texts[r.doc_id] for r in found)
+    clean = secretscan.redact(rows(spark, list(enumerate(cases))), secretscan.candidates(rows(spark, list(enumerate(cases)))).withColumn("is_secret", F.lit(True)))
+    assert not any(cases[texts[r.doc_id]] and cases[texts[r.doc_id]] in r.text for r in clean.collect())
+
+
 # ---------------------------------------------------------------- 10 near duplicates
 
 
