@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poolscope.llm import interpolation, jaccard, langid, linefirst, packing, prefixfree, secretscan, templates, tokenfiles, urlfilter
+from poolscope.llm import (collocation, fillmiddle, interpolation, jaccard, langid, linefirst, packing, prefixfree, secretscan,
+                           substrings, templates, tokenfiles, urlfilter)
 from poolscope.llm.common import crc_remainder, table
 from poolscope.session import scratch_path
 
@@ -76,6 +77,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated_words(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op12_rollup_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fillmiddle.fill_in_middle(table(spark, sf_dir, "documents"), with_text=False)
+
+
 QUERIES = {
     "op1_template_decontamination": op1_template_decontamination,
     "op2_prefix_free_parsing": op2_prefix_free_parsing,
@@ -87,4 +100,7 @@ QUERIES = {
     "op8_line_cleaning": op8_line_cleaning,
     "op9_secret_scan": op9_secret_scan,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_fm_index": op11_fm_index,
+    "op12_rollup_collocations": op12_rollup_collocations,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

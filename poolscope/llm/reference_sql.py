@@ -104,4 +104,79 @@ SELECT p.page_id, coalesce(f.host, '') AS host, coalesce(f.path, '') AS path, t.
 FROM pages p LEFT JOIN forms f ON f.url = p.url LEFT JOIN fits t ON t.url = p.url AND t.n = 1 LEFT JOIN spread s ON s.url = p.url
 """
 
-REFERENCE_SQL: dict[str, str] = {"op7_redirect_equivalence": REDIRECTS, "op8_line_cleaning": LINE_CLEANING, "op10_jaccard_join": JACCARD}
+#: Windows of 13 words as text, the least document of each, and the words that later windows cover.
+REPEATED_WORDS = rf"""
+WITH base AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS g
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM base WHERE len(w) >= 13)),
+least AS (SELECT g, min(doc_id) AS low FROM windows GROUP BY g HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT r, p FROM (
+    SELECT r, unnest(range(i, i + 13)) AS p FROM windows JOIN least USING (g) WHERE low < doc_id)),
+removed AS (SELECT r, list(p) AS gone FROM covered GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+    list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]) END, ' ')) AS kept_sha256
+FROM base LEFT JOIN removed USING (r)
+"""
+
+#: Counts of one, two and three words from windows of each length, all cuts in HUGEINT.
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(coalesce({_LOWER}, ''), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)),
+counts AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, f, c, array_to_string(w[1 : c], ' ') AS x, array_to_string(w[c + 1 : k], ' ') AS y
+  FROM candidates, (VALUES (1), (2)) AS places(c) WHERE c < k),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.f AS a, c, l.f AS l, r.f AS r,
+    (CAST(1000000 AS HUGEINT) * cuts.f * cuts.f) // (l.f * r.f) AS score
+  FROM cuts JOIN counts l ON l.lang = cuts.lang AND l.phrase = x JOIN counts r ON r.lang = cuts.lang AND r.phrase = y),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inside AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, f FROM candidates WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase
+  WHERE inside.f IS NULL OR 100 * inside.f < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+#: Units as a list, cuts and forms from the hash's first four groups.
+FILL_IN_MIDDLE = r"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+numbers AS (
+  SELECT *, len(u) AS n, [CAST('0x' || h[8 * k + 1 : 8 * k + 8] AS BIGINT) for k in [0, 1, 2, 3]] AS g FROM base),
+cut AS (
+  SELECT *, least(g[1] % (n + 1), g[2] % (n + 1)) AS x, greatest(g[1] % (n + 1), g[2] % (n + 1)) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR g[3] % 100 >= 90 THEN 'plain'
+      WHEN g[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1 : x], '') AS p, array_to_string(u[x + 1 : y], '') AS m,
+    array_to_string(u[y + 1 :], '') AS s
+  FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM parts
+"""
+
+REFERENCE_SQL: dict[str, str] = {
+    "op7_redirect_equivalence": REDIRECTS, "op8_line_cleaning": LINE_CLEANING, "op10_jaccard_join": JACCARD,
+    "op11_fm_index": REPEATED_WORDS, "op12_rollup_collocations": COLLOCATIONS, "op13_fill_in_middle": FILL_IN_MIDDLE}
