@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolscope.llm.batches import Batch, answers_of, ask, load_batch, per_batch, write_batches
-from poolscope.llm.common import stored
+from poolscope.llm.common import give_back_memory, stored
 from poolscope.llm.words import mixed, prefix_hashes, span_hashes
 
 UNKNOWN = "und"
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
+#: Rows of counted windows that a task hands over at once.
+ROWS_AT_ONCE = 50_000
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _OUTSIDE = _BREAK.copy()
@@ -65,12 +67,12 @@ class _Words:
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
         self.names = coded.dictionary
-        self.word = coded.indices.to_numpy().astype(np.int64)
+        self.word = coded.indices.to_numpy()
         self.follow = np.concatenate(follows or [np.zeros(0, bool)])
         langs = batch.rows.column("lang").combine_chunks().dictionary_encode()
         self.langs = langs.dictionary
         per_row = np.concatenate(counts or [np.zeros(0, np.int64)])
-        self.lang = np.repeat(langs.indices.to_numpy().astype(np.int64), per_row) if len(langs) else np.zeros(0, np.int64)
+        self.lang = np.repeat(langs.indices.to_numpy(), per_row) if len(langs) else np.zeros(0, np.int32)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the batch's word pairs in order, how often each occurs, and the pair that each joined word opens."""
@@ -94,6 +96,7 @@ def _hashes(names: pa.Array) -> np.ndarray:
 
 def _ask_pairs(path: str):
     keys, counts, _ = _Words(load_batch(path)).pairs()
+    give_back_memory()
     return keys, (counts,)
 
 
@@ -108,9 +111,9 @@ def _judge_pairs(least: int):
 
 def _numbered(codes: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of (code, further number) as one code from 0 on: the first place of each, every row's code, and counts."""
-    _, first, back, counts = np.unique(
-        codes * (int(more.max(initial=0)) + 1) + more, return_index=True, return_inverse=True, return_counts=True)
-    return first, back, counts
+    both = codes.astype(np.int64) * (int(more.max(initial=0)) + 1) + more
+    _, first, back, counts = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
+    return first, back.astype(np.int32), counts
 
 
 def _windows(longest: int):
@@ -126,17 +129,24 @@ def _windows(longest: int):
         columns = []
         reach = np.ones(n, dtype=bool)
         for k in range(longest):
-            column = np.zeros(n, dtype=np.int64)  # 0 is the padding
+            column = np.zeros(n, dtype=np.int32)  # 0 is the padding
             column[: n - k] = np.where(reach[: n - k], words.word[k:] + 1, 0)
             columns.append(column)
             first, codes, counts = _numbered(codes, column)
             reach[: n - k] &= go_on[k:]
             reach[n - k :] = False
-        texts = pa.concat_arrays([pa.array([""], pa.large_string()), words.names.cast(pa.large_string())])
-        return pa.table({
-            "lang": words.langs.take(pa.array(words.lang[first])).cast(pa.string()),
-            **{name: texts.take(pa.array(c[first])).cast(pa.string()) for name, c in zip(names, columns)},
-            "n": pa.array(counts, pa.int64())})
+        texts = pa.concat_arrays([pa.array([""], pa.large_string()), words.names])
+
+        def part(some: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch({
+                "lang": words.langs.take(pa.array(words.lang[some])),
+                **{name: texts.take(pa.array(c[some])).cast(pa.string()) for name, c in zip(names, columns)},
+                "n": pa.array(n, pa.int64())})
+
+        del codes, pair, reach, go_on
+        give_back_memory()
+        starts = range(0, max(1, len(first)), ROWS_AT_ONCE)
+        return pa.Table.from_batches([part(first[k : k + ROWS_AT_ONCE], counts[k : k + ROWS_AT_ONCE]) for k in starts])
 
     return use
 
@@ -151,8 +161,10 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
     often = ask(batches, _ask_pairs, (np.int32,), _judge_pairs(least), "phrases-pairs")
     names = [f"w{k + 1}" for k in range(longest)]
     windows = per_batch(often, _windows(longest), "lang string, " + ", ".join(f"{w} string" for w in names) + ", n long")
-    sums = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
-    sums = sums.filter(f"level < {2 ** longest} AND (f >= {least} OR level = {2 ** longest - 1})")
+    sums = docs.sparkSession.sql(
+        f"SELECT lang, {', '.join(names)}, sum(n) AS f, grouping_id() AS level FROM {{windows}} GROUP BY lang, ROLLUP ({', '.join(names)})",
+        windows=windows)
+    sums = sums.filter((F.col("f") >= least) | (F.col("level") == 2**longest - 1))
     # a row of a level is a phrase if its last word is no padding
     size = longest - F.bit_count("level").cast("int")
     phrase = F.concat_ws(" ", *names)
@@ -162,7 +174,11 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFra
 
 def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
     """The ``top`` phrases of every language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``."""
-    counts = phrase_counts(docs, longest, least)
+    return ranked(phrase_counts(docs, longest, least), share, top)
+
+
+def ranked(counts: DataFrame, share: int, top: int) -> DataFrame:
+    """``mine_phrases`` from counts of phrases as ``phrase_counts`` makes them."""
     candidates = counts.filter("size >= 2").select("lang", "phrase", "size", F.col("f").alias("a"), F.split("phrase", " ").alias("words"))
     part = counts.filter("size >= 1").select("lang", "phrase", "f")
 
@@ -189,6 +205,6 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     kept = kept.select("lang", "phrase", "cut.score", "cut.a", "cut.l", "cut.r", F.pmod(F.xxhash64("phrase"), F.lit(64)).alias("part"))
     some = Window.partitionBy("lang", "part").orderBy(*order)
     first = kept.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top).drop("rank", "part")
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
+    best = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     totals = counts.filter("size = 0").select("lang", F.col("f").alias("n"))
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

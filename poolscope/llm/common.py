@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import functools
+from collections.abc import Callable
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,20 +19,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Tables stored on the way to a result that ``settled`` makes; None outside of one.
+_ON_THE_WAY: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: a cut in the lineage that outlives executors."""
     spark = rows.sparkSession
     path = scratch_path(spark, label)
+    if (paths := _ON_THE_WAY.get()) is not None:
+        paths.append(path)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The rows that ``make()`` gives, stored; the tables that it stores on the way are removed."""
+    token = _ON_THE_WAY.set([])
+    try:
+        rows = make()
+        on_the_way = list(_ON_THE_WAY.get())
+    finally:
+        _ON_THE_WAY.reset(token)
+    result = stored(rows, label)
+    remove(rows.sparkSession, on_the_way)
+    return result
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders through the file system that Spark resolves them on."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    name = ctypes.util.find_library("c")
+    return getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
+
+
+def give_back_memory() -> None:
+    """Return freed memory of this worker process to the system.
+
+    Workers live on between tasks and keep what their largest arrays took, beside the next task's worker.
+    """
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def crc_remainder(doc_id: str, modulus: int):
     """``crc32`` of the id as text, modulo ``modulus``; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def connected_components(edges: DataFrame, label: str, max_rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """Smallest reachable node of every node that has an edge, as ``(node, component)``.
 
     ``edges`` has the columns ``a`` and ``b`` of one orderable type. Large-star and small-star steps
@@ -40,7 +90,7 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 40) ->
         .distinct(),
         f"{label}-edges",
     )
-    for _ in range(max_rounds):
+    while True:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = stored(both.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")), f"{label}-near")
         least = F.least("a", "low")
@@ -52,4 +102,3 @@ def connected_components(edges: DataFrame, label: str, max_rounds: int = 40) ->
         lowest = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(lowest, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         now = stored(small.filter("a > b").distinct(), f"{label}-stars")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
