@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poolscope.llm.common import connected_components, stored
+from poolscope.llm.common import connected_components, give_back_memory, stored
 from poolscope.llm.words import mixed, shingle_sets, text_slices
 
 SKETCH = 1 << 20
@@ -83,6 +83,7 @@ def _statistics(width: int):
             none = pa.nulls(SEGMENTS, pa.int64())
             yield pa.record_batch(
                 [none, none, none, none, pa.array(range(SEGMENTS), pa.int32()), _segments(sketch)], schema=_STATS)
+        give_back_memory()
 
     return run
 
@@ -153,6 +154,7 @@ def _prefixes(width: int, percent: int, counts):
                     out.append((tokens[first].view(np.int64), np.full(m, _signed([key])[0, 0]), np.where(seen[first] > HOT, -place, place)))
                 if out:
                     yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+        give_back_memory()
 
     return run
 
@@ -169,6 +171,7 @@ def _sets(width: int, wanted):
             for first, data, offsets in text_slices(kept.column("text")):
                 sets = [tokens.tobytes() for tokens in shingle_sets(data, offsets, width)]
                 yield pa.record_batch([kept.column("doc_id").slice(first, len(sets)), pa.array(sets, pa.binary())], schema=schema)
+        give_back_memory()
 
     return run
 
@@ -192,6 +195,7 @@ def _verified(percent: int):
                     keep[k] = _shared(a, b) >= overlap_needed(len(a), len(b), percent)
             found = batch.filter(pa.array(keep))
             yield pa.record_batch([found.column("a"), found.column("b")], names=["a", "b"])
+        give_back_memory()
 
     return run
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from poolscope.llm.common import give_back_memory
 from poolscope.llm.words import text_slices
 
 WINDOW = 256
@@ -191,6 +192,7 @@ def _predicted(net: ByteNet, keep_text: bool):
                 found = [pa.array([net.languages[k] for k in best], pa.string()),
                          pa.array(np.clip(mean[np.arange(len(best)), best], 0, 1).astype(np.float64))]
                 yield pa.record_batch([*part.columns, *found], names=[*part.schema.names, "lang_pred", "score"])
+        give_back_memory()
 
     return run
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolscope.llm.common import stored
+from poolscope.llm.common import give_back_memory, stored
 from poolscope.llm.tokens import encoder
 from poolscope.llm.words import text_slices
 
@@ -149,6 +149,7 @@ def _packed(idf, mean: float, window: int):
                     [doc_ids.take(pa.array(docs)), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
                      pa.array(lengths[docs]), pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+        give_back_memory()
 
     return run
 

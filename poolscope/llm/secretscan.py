@@ -19,6 +19,8 @@ findings of both kinds the score is 1 or 0 as the strict rules say. Extra column
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -31,6 +33,8 @@ LEAST = 16
 TRAINING_ROWS = 20_000
 MOST_WEIGHT = 10
 COMMON_WORDS = 200
+#: Spans of secrets (16 bytes each and their texts' keys) that may be broadcast to redact texts.
+BROADCAST_SPANS = 200_000
 SPLIT = r"[\x20\x09-\x0D]+"
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
 CREDENTIAL = r"token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential"
@@ -41,8 +45,12 @@ ASSIGNING = rf"""(?i)(?:{NAME})[^\s=:]*(?::=|=>|==|=|:)$"""
 NAMED = rf"""(?i)(?:{NAME})[^\s=:]*$"""
 SIGN = "^(:=|=>|==|=|:)$"
 SIGNED = "^(?::=|=>|==|=|:)(.+)$"
-IN_ADDRESS = r"""[A-Za-z][A-Za-z0-9+.\-]*://[^\s/:@"']*:([^\s"']+)@[^\s@]|^["'(<]*[A-Za-z0-9._\-]+:([^\s:/@"']+)@[A-Za-z0-9]"""
+#: What is before the password, and the password, in either form.
+IN_ADDRESS = r"""^(.*?[A-Za-z][A-Za-z0-9+.\-]*://[^\s/:@"']*:)([^\s"']+)@[^\s@]|^(["'(<]*[A-Za-z0-9._\-]+:)([^\s:/@"']+)@[A-Za-z0-9]"""
+WITH_SPACE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+PARTS = r"[A-Za-z0-9+/_=\-]+|[^A-Za-z0-9+/_=\-]+"
 #: A value in quotes or brackets, its first word if it has spaces, and a bare value without what closes a statement.
+BEFORE_BARE = r"""^["'`(\[{<]*"""
 QUOTED, OPENED, BARE = r"""^(["'`])(.+?)\1""", r"""^(["'`])[^"'`]+$""", r"""^["'`(\[{<]*(.*?)["'`)\]}>,;]*$"""
 ISSUED = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35})$"
 FEATURES = ["length", "digits", "upper", "lower", "marks", "turns", "case_turns", "variety", "hex", "covered", "path",
@@ -58,22 +66,46 @@ def text_key() -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, key of the text, number of the word, candidate, and the words around it. One row per candidate."""
-    words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPLIT), lambda w: w != "")
+    """One row per candidate: ``doc_id``, key of the text, number of the word, candidate, the words around it, and where it stands.
+
+    ``start`` and ``size`` are in characters of the text.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    words = F.filter(F.split(text, SPLIT), lambda w: w != "")
     near = F.transform("_words", lambda w, i: F.struct(
         i.alias("word_no"), w.alias("word"), F.get("_words", i - 1).alias("before"), F.get("_words", i - 2).alias("before2"),
         F.get("_words", i + 1).alias("after")))
-    runs = F.when((F.length("word") >= LEAST) & F.col("word").rlike(CANDIDATE), F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0)))
     found = F.filter(near, lambda x: (F.length(x["word"]) >= LEAST) & x["word"].rlike(CANDIDATE) | _value(x).isNotNull() | _password(x["word"]).isNotNull())
-    rows = docs.select("doc_id", text_key(), F.col("text").cast("string").alias("_text"), words.alias("_words"))
-    rows = rows.select("doc_id", "text_key", F.explode(F.transform(found, lambda x: F.struct(x.alias("x"), _values(x, F.col("_text")).alias("v")))).alias("y"))
-    rows = rows.select("doc_id", "text_key", "y.x.*", F.col("y.v").alias("_values"))
-    both = F.array_distinct(F.concat(F.coalesce(runs, F.array().cast("array<string>")), "_values"))
-    return rows.withColumn("candidate", F.explode(both)).drop("_values")
+    rows = docs.select("doc_id", text_key(), text.alias("_text"), words.alias("_words"))
+    rows = rows.select("doc_id", "text_key", "_text", found.alias("_found"))
+    # the words before a found one are measured once, from the found word before it
+    lengths = F.when(F.size("_found") > 0, F.transform(F.regexp_extract_all("_text", F.lit(WITH_SPACE), F.lit(0)), F.length))
+    steps = _once(lengths, lambda n: F.transform("_found", lambda x, j: _total(F.slice(n, _last(j) + 2, x["word_no"] - _last(j)))))
+    placed = _once(steps, lambda step: F.transform("_found", lambda x, j: F.struct(
+        x.alias("x"), (_total(F.slice(step, 1, j + 1)) - F.length(x["word"])).alias("at"))))
+    rows = rows.select("doc_id", "text_key", "_text", placed.alias("_placed"))
+    spans = F.transform("_placed", lambda y: F.struct(y["x"].alias("x"), y["at"].alias("at"), _spans(y["x"], y["at"], F.col("_text")).alias("spans")))
+    rows = rows.select("doc_id", "text_key", F.explode(spans).alias("y")).select("doc_id", "text_key", "y.x.*", "y.at", F.explode("y.spans").alias("s"))
+    return rows.select("doc_id", "text_key", "word_no", "word", "before", "before2", "after", F.col("s.candidate").alias("candidate"),
+                       (F.col("at") + F.col("s.at")).alias("start"), F.length("s.candidate").alias("size"))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once a row, also where lambdas refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda s, n: s + n)
+
+
+def _last(j: Column) -> Column:
+    """Number of the found word before the one at ``j``; -1 before the first."""
+    return F.coalesce(F.get("_found", j - 1)["word_no"], F.lit(-1))
 
 
 def _value(x: Column) -> Column:
-    """What a word assigns to a credential's name, as it stands there, or null."""
+    """What a word assigns to a credential's name, as it stands at the word's end, or null."""
     inside = F.regexp_extract(x["word"], ASSIGNED, 1)
     signed = F.regexp_extract(x["word"], SIGNED, 1)
     before, before2 = F.coalesce(x["before"], F.lit("")), F.coalesce(x["before2"], F.lit(""))
@@ -85,20 +117,31 @@ def _value(x: Column) -> Column:
 def _password(word: Column) -> Column:
     """The password of an address, or null."""
     at = word.contains("@") & word.contains(":")
-    return F.when(at & word.rlike(IN_ADDRESS), F.concat(F.regexp_extract(word, IN_ADDRESS, 1), F.regexp_extract(word, IN_ADDRESS, 2)))
+    return F.when(at & word.rlike(IN_ADDRESS), F.concat(F.regexp_extract(word, IN_ADDRESS, 2), F.regexp_extract(word, IN_ADDRESS, 4)))
+
+
+def _span(at: Column, candidate: Column) -> Column:
+    return F.struct(at.cast("int").alias("at"), candidate.alias("candidate"))
 
 
-def _values(x: Column, text: Column) -> Column:
-    """The assigned value and password of a word, as they stand in the text and are not empty."""
-    value = _value(x)
-    plain = F.when(value.rlike(QUOTED), F.regexp_extract(value, QUOTED, 2)).otherwise(F.regexp_extract(value, BARE, 1))
-    # quoted values with spaces begin like this word; to the same quote in the same line
-    literal = F.regexp_replace(value, r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]", r"\\$0")
-    mark = F.substring(value, 1, 1)
-    spaced = F.regexp_extract_all(text, F.concat(literal, F.lit("[^\n"), mark, F.lit("]*"), mark), F.lit(0))
-    spaced = F.transform(spaced, lambda v: F.substring(v, F.lit(2), F.length(v) - 2))
-    spaced = F.when(value.rlike(OPENED) & (F.length(value) > 1), spaced).otherwise(F.array().cast("array<string>"))
-    return F.filter(F.concat(F.array(plain, _password(x["word"])), spaced), lambda v: v.isNotNull() & (F.trim(v) != ""))
+def _spans(x: Column, begin: Column, text: Column) -> Column:
+    """Candidates of a word (``begin`` characters into the text) and where in the word each begins."""
+    word, value, password = x["word"], _value(x), _password(x["word"])
+    parts = F.regexp_extract_all(word, F.lit(PARTS), F.lit(0))
+    runs = _once(parts, lambda all: F.transform(all, lambda p, j: F.when(
+        (F.length(p) >= LEAST) & p.rlike(CANDIDATE), _span(_total(F.transform(F.slice(all, 1, j), F.length)), p))))
+    runs = F.when((F.length(word) >= LEAST) & word.rlike(CANDIDATE), runs)
+    skipped = F.length(word) - F.length(value)
+    plain = F.when(value.rlike(QUOTED), _span(skipped + 1, F.regexp_extract(value, QUOTED, 2))).otherwise(
+        _span(skipped + F.length(F.regexp_extract(value, BEFORE_BARE, 0)), F.regexp_extract(value, BARE, 1)))
+    lead = F.concat(F.regexp_extract(word, IN_ADDRESS, 1), F.regexp_extract(word, IN_ADDRESS, 3))
+    # a quoted value with spaces goes on to the same quote in the same line
+    rest, mark = F.substring(text, begin + skipped + 2, F.length(text)), F.substring(value, 1, 1)
+    spaced = F.when(value.rlike(OPENED) & (F.length(value) > 1), F.when(mark == '"', F.regexp_extract(rest, r'^([^\n"]+)"', 1)).when(
+        mark == "'", F.regexp_extract(rest, r"^([^\n']+)'", 1)).otherwise(F.regexp_extract(rest, r"^([^\n`]+)`", 1)))
+    others = F.array(plain, F.when(password.isNotNull(), _span(F.length(lead), password)), F.when(spaced.isNotNull(), _span(skipped + 1, spaced)))
+    both = F.concat(F.coalesce(runs, F.array().cast("array<struct<at:int,candidate:string>>")), others)
+    return F.array_distinct(F.filter(both, lambda s: s.isNotNull() & s["candidate"].isNotNull() & (F.trim(s["candidate"]) != "")))
 
 
 def common_words(docs: DataFrame) -> list[str]:
@@ -188,18 +231,50 @@ def scan(docs: DataFrame, least_score: float = 0.5, known: DataFrame | None = No
     else:
         scored = model.transform(_assembled(rows)).withColumn("score", vector_to_array("probability")[1])
     return scored.withColumn("is_secret", F.col("score") >= least_score).select(
-        "doc_id", "text_key", "word_no", "candidate", *FEATURES, "label", "score", "is_secret")
+        "doc_id", "text_key", "word_no", "candidate", "start", "size", *FEATURES, "label", "score", "is_secret")
+
+
+def places(findings: DataFrame) -> DataFrame:
+    """``text_key`` and ``spans`` (``begin``, ``end``) of the secrets of every text that has some; overlapping ones are one."""
+    each = findings.filter("is_secret").groupBy("text_key").agg(F.collect_set(F.struct(
+        F.col("start").alias("begin"), (F.col("start") + F.col("size")).alias("end"))).alias("spans"))
+
+    def merged(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        wider = F.struct(last["begin"].alias("begin"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(s["begin"] < last["end"], F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(
+            F.concat(done, F.array(s)))
+
+    none = F.array().cast("array<struct<begin:int,end:int>>")
+    return each.select("text_key", F.aggregate(F.array_sort("spans"), none, merged).alias("spans"))
 
 
 def redact(docs: DataFrame, findings: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret replaced in the texts that it was found in; rows and columns stay as they are.
+    """``docs`` with every secret replaced where it was found, and nowhere else; rows and columns stay as they are."""
+    return replace_places(docs, stored(places(findings), "secrets-places"), mark)
+
 
-    Findings are joined by the key of their text: rows need no id for that.
+def replace_places(docs: DataFrame, spans: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with the ``spans`` of their texts (``places``, a stored table) replaced by ``mark``.
+
+    Spans are joined by the key of their text: rows need no id for that. Up to ``BROADCAST_SPANS`` spans are broadcast, so that
+    texts stay where they are; more are joined by a shuffle.
     """
-    found = findings.filter("is_secret").groupBy("text_key").agg(F.array_sort(F.collect_set("candidate")).alias("_secrets"))
-    # longest first, so that no secret is part of one replaced later
-    ordered = F.reverse(F.array_sort(F.transform("_secrets", lambda s: F.struct(F.length(s).alias("n"), s.alias("s")))))
-    clean = F.aggregate(ordered, F.col("text"), lambda t, s: F.replace(t, s["s"], F.lit(mark)))
-    keys = found.withColumnRenamed("text_key", "_key")
-    joined = docs.join(keys, F.when(docs["text"].isNotNull(), F.xxhash64(docs["text"].cast("string"))) == F.col("_key"), "left")
-    return joined.withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)).drop("_key", "_secrets")
+    size = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row")
+    rows = docs.select(row, F.when(F.col("text").isNotNull(), text_key()).alias("key"))
+    named = spans.toDF("key", "spans")
+    rows = rows.join(F.broadcast(named) if size <= BROADCAST_SPANS else named, "key", "left")
+    text = F.col("row.text").cast("string")
+    pieces = F.transform("spans", lambda s, j: F.concat(_between(text, _end(j), s["begin"]), F.lit(mark)))
+    clean = F.concat(F.array_join(pieces, ""), _between(text, _end(F.size("spans")), F.length(text)))
+    return rows.select(*(
+        F.when(F.col("spans").isNull(), text).otherwise(clean).alias(name) if name == "text" else F.col("row")[name].alias(name) for name in docs.columns))
+
+
+def _end(j: Column) -> Column:
+    return F.coalesce(F.get("spans", j - 1)["end"], F.lit(0))
+
+
+def _between(text: Column, begin: Column, end: Column) -> Column:
+    return F.substring(text, begin + 1, end - begin)

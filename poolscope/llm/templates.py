@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolscope.llm.common import stored
+from poolscope.llm.common import give_back_memory, stored
 from poolscope.llm.words import SLICE_BYTES, _LOWER, mixed, powers, sequence_hashes, text_slices, word_spans
 
 FILTER = 1 << 23
@@ -192,6 +192,7 @@ def _of_documents(widths: list[int], full: int, literals: int, wanted):
                          pa.array([_pattern(c, values[s]) for c, s in zip(read, spans)], pa.binary()),
                          pa.array([int(sequence_hashes(values[s], width)[0].view(np.int64)) for s in spans], pa.int64())],
                         names=["doc_id", "hash", "at", "pattern", "value"])
+        give_back_memory()
 
     return run
 
