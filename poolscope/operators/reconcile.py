@@ -14,7 +14,7 @@ LOOKBACK = 6 * 3600
 THRESHOLD, SERIOUS = 0.05, 0.5
 
 
-def _spine(spark: SparkSession, first: int, last: int, step: int, statuses) -> DataFrame:
+def bucket_spine(spark: SparkSession, first: int, last: int, step: int, statuses) -> DataFrame:
     """All buckets of all statuses of a time range; its size depends on the range only."""
     start = first - first % step
     return spark.range(start, last + 1, step).select(
@@ -41,7 +41,7 @@ def index_histogram(
         .groupBy("Status", bucket_start(F.col("RecordTime"), step).alias("bucket"))
         .agg(F.count("*").alias("documents"), F.count_distinct("GlobalJobId").alias("jobs"))
     )
-    spine = _spine(docs.sparkSession, now - lookback, now, step, statuses)
+    spine = bucket_spine(docs.sparkSession, now - lookback, now, step, statuses)
     return spine.join(counts, ["Status", "bucket"], "left").fillna(0, ["documents", "jobs"])
 
 
@@ -54,7 +54,7 @@ def series_histogram(
         .groupBy("Status", bucket_start(F.col("RecordTime"), step).alias("bucket"))
         .agg(F.count("MemoryMB").alias("points"))
     )
-    spine = _spine(docs.sparkSession, now - lookback, now, step, statuses)
+    spine = bucket_spine(docs.sparkSession, now - lookback, now, step, statuses)
     return spine.join(counts, ["Status", "bucket"], "left")
 
 

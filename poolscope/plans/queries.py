@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from poolscope.functions.casting import cast_attribute
 from poolscope.functions.decode import decode_message
 from poolscope.functions.identity import source_name
-from poolscope.operators import incremental, logparse, notify, quality, reconcile, select, sinks
+from poolscope.operators import incremental, logparse, notify, quality, reconcile, schema, select, sinks
 from poolscope.operators.dedupe import latest_documents, union_sources
 from poolscope.operators.documents import build_documents, drop_root_tasks
 from poolscope.operators.enrich import add_affiliation, attach_pool, row_bound
@@ -600,6 +600,55 @@ def conflicting_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+NESTED_SQL = """
+concat('{"GlobalJobId":"job', CAST(event_id AS STRING), '","Site":',
+  CASE WHEN k % 17 = 8 THEN '"T2"' ELSE concat('{', CASE WHEN k % 7 = 0 THEN '' ELSE '"Name":"s",' END,
+    '"Tier":', CASE WHEN k % 5 = 0 THEN '"one"' ELSE '1' END, CASE WHEN k % 4 = 1 THEN ',"Extra":{"deep":1}' ELSE '' END, '}') END,
+  ',"Steps":[{"Name":"a","Events":1.5},{', CASE WHEN k % 8 = 3 THEN '' ELSE '"Name":"b",' END,
+  '"Events":', CASE WHEN k % 6 = 2 THEN '"many"' WHEN k % 6 = 3 THEN 'null' ELSE '2' END, '}', CASE WHEN k % 9 = 4 THEN ',5' ELSE '' END,
+  '],"Tags":', CASE WHEN k % 11 = 5 THEN '[1]' WHEN k % 11 = 6 THEN '[]' ELSE '["x"]' END,
+  CASE WHEN k % 13 = 6 THEN ',"Surprise":{"a":[{"b":1}]}' ELSE '' END, '}')
+"""
+
+
+def _nested_documents(base: DataFrame) -> DataFrame:
+    """JSON documents with objects and lists of objects, and planted mistakes at every level."""
+    return base.selectExpr("CAST(event_id AS STRING) AS doc_id", f"{NESTED_SQL} AS document")
+
+
+def _clean_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Some without mistakes, to learn the schema from: 12 meets none of the conditions."""
+    return _nested_documents(sample_base(spark, sf).withColumn("k", F.lit(12)))
+
+
+def nested_violations(spark: SparkSession, sf: str) -> DataFrame:
+    examples = schema.infer_schema(_clean_documents(spark, sf))
+    return schema.nested_violations(_nested_documents(sample_base(spark, sf)), examples)
+
+
+def example_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths, kinds and shares of all documents, the mistaken ones too."""
+    return _rounded(_listed(schema.infer_schema(_nested_documents(sample_base(spark, sf))), "kinds"))
+
+
+def stored_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """The second stored version: the schema of clean documents, widened by that of all."""
+    path = scratch_path(spark, "schema")
+    schema.store_schema(spark, schema.infer_schema(_clean_documents(spark, sf)), path, 1)
+    schema.store_schema(spark, schema.infer_schema(_nested_documents(sample_base(spark, sf))), path, 2)
+    return _listed(schema.read_schema(spark, path), "kinds")
+
+
+def own_schema_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents against the schema inferred from them: per kind of violation, how many paths of how many documents disagree.
+
+    Only the lack of keys inside objects is left: a schema of examples does not say which of them are optional.
+    """
+    docs = _nested_documents(sample_base(spark, sf))
+    found = schema.nested_violations(docs, schema.infer_schema(docs))
+    return found.groupBy("violation", "path").agg(F.count("*").alias("documents"))
+
+
 def _log_lines(spark: SparkSession, sf: str) -> DataFrame:
     return log_lines_of(sample_base(spark, sf))
 
@@ -744,6 +793,87 @@ def streamed_logs(spark: SparkSession, sf: str) -> DataFrame:
     return stored.select("event_id", "message_type", "schedd_name", F.col("index"))
 
 
+def _feed(rows: DataFrame, folder: str) -> None:
+    """Add rows to a folder as one more file."""
+    rows.coalesce(1).write.mode("append").parquet(folder)
+
+
+def streamed_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Records read and places reached by a stream over three files, stopped and started again after two of them."""
+    from poolscope.streaming import incremental as stream
+
+    raw = table(tune(spark), sf, "events")
+    target = scratch_path(spark, "incremental")
+    _all_checkpoints(spark, sf).write.parquet(target + "/before")
+    before = spark.read.parquet(target + "/before")
+
+    def run() -> None:
+        rows = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(target + "/in")
+        read = stream.history_stream(_plain_scheduler(ads_of(observations(rows))), before, LAUNCH_TIME)
+        moved = stream.place_stream(read, before, LAUNCH_TIME)
+        stream.write_place_stream(moved, target + "/places", target + "/places-state", LAUNCH_TIME).awaitTermination()
+        chosen = read.select("GlobalJobId", "EnteredCurrentStatus", "_start")
+        stream.write_history_stream(chosen, target + "/read", target + "/read-state").awaitTermination()
+
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    _feed(raw.filter(part == 0), target + "/in")
+    _feed(raw.filter(part == 1), target + "/in")
+    run()
+    _feed(raw.filter(part == 2), target + "/in")
+    run()
+    read = spark.read.parquet(target + "/read").select(
+        F.lit("read").alias("kind"), F.col("GlobalJobId").alias("name"), F.col("EnteredCurrentStatus").alias("at"), F.col("_start").alias("start"))
+    places = incremental.merge_checkpoints(before, stream.read_places(spark, target + "/places"))
+    return read.unionByName(places.select(
+        F.lit("place").alias("kind"), F.col("schedd").alias("name"), F.col("last_completion").alias("at"), F.lit(None).cast("bigint").alias("start")))
+
+
+def _streamed_buckets(spark: SparkSession, sf: str, buckets, docs: DataFrame) -> str:
+    """Closed buckets of a document stream: a month in four files, one document a day later, and one that is late.
+
+    The stream is stopped and started again after two files. The late document finds its bucket closed.
+    """
+    from poolscope.streaming.histograms import write_buckets
+
+    target = scratch_path(spark, "buckets")
+    docs = docs.filter(F.col("RecordTime").between(LAUNCH_TIME - MONTH, LAUNCH_TIME))
+    docs.write.parquet(target + "/docs")
+    docs = spark.read.parquet(target + "/docs")
+
+    def run() -> None:
+        rows = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(target + "/in")
+        write_buckets(buckets(rows), target + "/closed", target + "/state").awaitTermination()
+
+    week = F.least(F.floor((F.col("RecordTime") - F.lit(LAUNCH_TIME - MONTH)) * 4 / F.lit(MONTH)), F.lit(3))
+    for k in range(4):
+        _feed(docs.filter(week == k), target + "/in")
+        if k == 1:
+            run()
+    other = "struct<GlobalJobId:string,RecordTime:bigint,Status:string,MemoryMB:double>"
+    for name, at, status in (("next", LAUNCH_TIME + 86400, "Idle"), ("late", LAUNCH_TIME - 20 * 86400, "Completed")):
+        one = spark.range(1).select(F.expr(f"named_struct('GlobalJobId', '{name}', 'RecordTime', {at}L, 'Status', '{status}', 'MemoryMB', 1D)").cast(other).alias("d"))
+        _feed(one.select("d.*").select(docs.columns), target + "/in")
+    run()
+    return target + "/closed"
+
+
+def streamed_index_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from poolscope.streaming import histograms
+
+    closed = _streamed_buckets(spark, sf, histograms.index_buckets, _counted(spark, sf))
+    return histograms.read_buckets(
+        spark, closed, histograms.INDEX_BUCKETS, LAUNCH_TIME - MONTH, LAUNCH_TIME, reconcile.INDEX_STEP)
+
+
+def streamed_series_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from poolscope.streaming import histograms
+
+    docs = _counted(spark, sf).withColumn("MemoryMB", F.nullif("MemoryMB", F.lit(0.0)))
+    closed = _streamed_buckets(spark, sf, histograms.series_buckets, docs)
+    return histograms.read_buckets(
+        spark, closed, histograms.SERIES_BUCKETS, LAUNCH_TIME - MONTH, LAUNCH_TIME, reconcile.SERIES_STEP, empty=None)
+
+
 # ----------------------------------------------------------------------------------- runs
 
 _ONE_RUN = dict(launch_time=LAUNCH_TIME, history_minutes=39 * 24 * 60)
@@ -852,6 +982,10 @@ QUERIES = {
         alert_records,
         schema_violations,
         conflicting_documents,
+        nested_violations,
+        example_schema,
+        stored_schema,
+        own_schema_violations,
         log_events,
         log_index_counts,
         missing_fields,
@@ -859,6 +993,9 @@ QUERIES = {
         line_item_documents,
         streamed_documents,
         streamed_logs,
+        streamed_incremental,
+        streamed_index_histogram,
+        streamed_series_histogram,
         history_run,
         queue_run,
         run_then_state,

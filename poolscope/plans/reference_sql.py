@@ -241,6 +241,44 @@ UNION ALL SELECT event_id::VARCHAR, 'Surprise', 'unknown_key' FROM base WHERE k
 UNION ALL SELECT event_id::VARCHAR, 'ToE', 'invalid_nested' FROM base WHERE k % 8 = 0)
 """
 
+# What each condition of the nested documents means, on its own terms. site: the site is an object.
+NESTED = f"""{BASE}, n AS (SELECT event_id, event_id::VARCHAR AS doc_id, k, k % 17 <> 8 AS site FROM base),
+nested AS (
+  SELECT doc_id, 'Site' AS path, 'incorrect_type' AS violation FROM n WHERE NOT site
+  UNION ALL SELECT doc_id, 'Site.Name', 'missing_nested_key' FROM n WHERE site AND k % 7 = 0
+  UNION ALL SELECT doc_id, 'Site.Tier', 'incorrect_type' FROM n WHERE site AND k % 5 = 0
+  UNION ALL SELECT doc_id, 'Site.Extra', 'unknown_key' FROM n WHERE site AND k % 4 = 1
+  UNION ALL SELECT doc_id, 'Steps[].Name', 'missing_nested_key' FROM n WHERE k % 8 = 3
+  UNION ALL SELECT doc_id, 'Steps[].Events', 'incorrect_type' FROM n WHERE k % 6 = 2
+  UNION ALL SELECT doc_id, 'Steps[]', 'inconsistent_list' FROM n WHERE k % 9 = 4
+  UNION ALL SELECT doc_id, 'Tags[]', 'incorrect_type_in_list' FROM n WHERE k % 11 = 5
+  UNION ALL SELECT doc_id, 'Surprise', 'unknown_key' FROM n WHERE k % 13 = 6),
+paths AS (
+  SELECT event_id, 'GlobalJobId' AS path, 'str' AS kind FROM n
+  UNION ALL SELECT event_id, 'Site', CASE WHEN site THEN 'dict' ELSE 'str' END FROM n
+  UNION ALL SELECT event_id, 'Site.Name', 'str' FROM n WHERE site AND k % 7 <> 0
+  UNION ALL SELECT event_id, 'Site.Tier', CASE WHEN k % 5 = 0 THEN 'str' ELSE 'int' END FROM n WHERE site
+  UNION ALL SELECT event_id, 'Site.Extra', 'dict' FROM n WHERE site AND k % 4 = 1
+  UNION ALL SELECT event_id, 'Site.Extra.deep', 'int' FROM n WHERE site AND k % 4 = 1
+  UNION ALL SELECT event_id, 'Steps', 'list' FROM n
+  UNION ALL SELECT event_id, 'Steps[]', 'dict' FROM n
+  UNION ALL SELECT event_id, 'Steps[]', 'int' FROM n WHERE k % 9 = 4
+  UNION ALL SELECT event_id, 'Steps[].Name', 'str' FROM n
+  UNION ALL SELECT event_id, 'Steps[].Events', 'float' FROM n
+  UNION ALL SELECT event_id, 'Steps[].Events', 'str' FROM n WHERE k % 6 = 2
+  UNION ALL SELECT event_id, 'Tags', 'list' FROM n
+  UNION ALL SELECT event_id, 'Tags[]', CASE WHEN k % 11 = 5 THEN 'int' ELSE 'str' END FROM n WHERE k % 11 <> 6
+  UNION ALL SELECT event_id, 'Surprise', 'dict' FROM n WHERE k % 13 = 6
+  UNION ALL SELECT event_id, 'Surprise.a', 'list' FROM n WHERE k % 13 = 6
+  UNION ALL SELECT event_id, 'Surprise.a[]', 'dict' FROM n WHERE k % 13 = 6
+  UNION ALL SELECT event_id, 'Surprise.a[].b', 'int' FROM n WHERE k % 13 = 6),
+inferred AS (
+  SELECT path, string_agg(DISTINCT kind, '|' ORDER BY kind) AS kinds, count(DISTINCT event_id) AS documents,
+    round(count(DISTINCT event_id) / (SELECT count(*) FROM n), 6) AS share FROM paths GROUP BY path),
+clean(path, kinds) AS (VALUES ('GlobalJobId', 'str'), ('Site', 'dict'), ('Site.Name', 'str'), ('Site.Tier', 'int'), ('Steps', 'list'),
+  ('Steps[]', 'dict'), ('Steps[].Name', 'str'), ('Steps[].Events', 'float'), ('Tags', 'list'), ('Tags[]', 'str'))
+"""
+
 _LINES = f"""{BASE},
 lines AS (SELECT event_id, {LOG_LINE_SQL.replace("{S}", "VARCHAR")} AS value,
   CASE WHEN k % 2 = 0 THEN 'condor_queue' ELSE 'condor_history' END AS spider_source FROM base)"""
@@ -508,6 +546,15 @@ SELECT spine.st AS Status, spine.bucket, points FROM spine LEFT JOIN hist ON his
     "schema_violations": f"{CHECKED} SELECT doc_id, field, violation FROM v",
     "conflicting_documents": f"""{CHECKED} SELECT doc_id, count(*) FILTER (violation = 'unknown_key') AS unknown_keys,
   count(*) FILTER (violation <> 'unknown_key') AS conflicts FROM v GROUP BY doc_id""",
+    "nested_violations": f"{NESTED} SELECT doc_id, path, violation FROM nested",
+    "example_schema": f"{NESTED} SELECT path, kinds, documents, share FROM inferred",
+    "stored_schema": f"""{NESTED} SELECT path, coalesce(i.kinds, c.kinds) AS kinds,
+  CASE WHEN c.kinds IS NULL THEN 'added' WHEN i.kinds = c.kinds THEN 'same' ELSE 'conflict' END AS change
+FROM inferred i FULL JOIN clean c USING (path)""",
+    "own_schema_violations": f"""{NESTED} SELECT 'missing_nested_key' AS violation, path, count(*) AS documents FROM (
+  SELECT 'Site.Name' AS path FROM n WHERE site AND k % 7 = 0
+  UNION ALL SELECT 'Site.Extra' FROM n WHERE site AND k % 4 <> 1
+  UNION ALL SELECT 'Steps[].Name' FROM n WHERE k % 8 = 3) GROUP BY path""",
     "log_events": f"""{LOGS} SELECT event_id, spider_source, logged_at, log_source, log_level, message,
   message_types[1] AS message_type, array_to_string(message_types, '|') AS message_types, {", ".join(LOG_FIELDS)} FROM parsed""",
     "log_index_counts": f"""{LOGS} SELECT 'logmon-spider-' || {_LOG_DAY} AS index, message_types[1] AS message_type,
@@ -520,6 +567,11 @@ SELECT st AS Status, site AS Site, c AS occurrences FROM n QUALIFY row_number()
   count(*) AS jobs, sum(cpus)::BIGINT AS cpus, count({CAMPAIGN}) AS campaigns, count(DISTINCT {WORKFLOW}) AS workflows,
   sum(len(wanted))::BIGINT AS wanted_sites, round(max({CPU_EFF}), 6) AS best_efficiency,
   count(*) FILTER (({LOCALITY}) = 'Offsite') AS offsite FROM d GROUP BY 1, 2, 3""",
+    "streamed_incremental": f"""{HISTORY}, fresh AS (SELECT schedd, greatest(max(EnteredCurrentStatus), max(start)) AS lc
+  FROM read GROUP BY schedd)
+SELECT 'read' AS kind, gid AS name, EnteredCurrentStatus AS at, start FROM read
+UNION ALL SELECT 'place', schedd, max(lc), NULL FROM (SELECT schedd, lc FROM fresh UNION ALL SELECT schedd, last_completion FROM state)
+GROUP BY schedd""",
     "streamed_documents": f"""{docs()} SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id,
   'jobs-' || strftime(make_timestamp(QDate * 1000000), '%Y-%m-%d') AS index, st AS Status, code AS ExitCode, site AS Site,
   round(core_hr, 6) AS CoreHr FROM d""",
@@ -541,3 +593,7 @@ written AS (SELECT doc_id, schedd FROM history UNION SELECT doc_id, schedd FROM
 SELECT schedd, greatest(max(EnteredCurrentStatus), {L} - 39 * 86400) AS last_completion,
   (SELECT count(*) FROM written w WHERE w.schedd = history.schedd) AS documents FROM history GROUP BY schedd""",
 }
+
+# A stream's closed buckets are those of the batch: the document a day later is in an open one, the late one is refused.
+REFERENCE_SQL["streamed_index_histogram"] = REFERENCE_SQL["index_histogram"]
+REFERENCE_SQL["streamed_series_histogram"] = REFERENCE_SQL["series_histogram"]
