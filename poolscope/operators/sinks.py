@@ -180,11 +180,12 @@ def write_index(
         .hint("rebalance", "idx_date")
         .write.mode("overwrite")
         .partitionBy("idx_date")
-        .parquet(_batch_path(path, feed, batch))
+        .parquet(batch_path(path, feed, batch))
     )
 
 
-def _batch_path(path: str, feed: str, batch: int) -> str:
+def batch_path(path: str, feed: str, batch: int) -> str:
+    """Folder of one batch of a feed."""
     return f"{path}/feed={feed}/batch={batch}"
 
 
@@ -206,14 +207,14 @@ def compact_index(spark: SparkSession, path: str, target: str) -> None:
 
 def write_messages(messages: DataFrame, path: str, batch: int, feed: str = "run") -> None:
     """Store broker messages (key, value) as JSON lines, one folder per batch of a feed."""
-    messages.write.mode("overwrite").json(_batch_path(path, feed, batch))
+    messages.write.mode("overwrite").json(batch_path(path, feed, batch))
 
 
 def write_quarantine(bad: DataFrame, path: str, batch: int, feed: str = "run") -> None:
     """Store unusable records with their reasons, one folder per batch of a feed."""
     names = [c for c in ("GlobalJobId", "doc_id", "ScheddName", "EnteredCurrentStatus", "QDate") if c in bad.columns]
     reasons = bad.select(*names, F.col("_error").alias("reasons"))
-    reasons.write.mode("overwrite").parquet(_batch_path(path, feed, batch))
+    reasons.write.mode("overwrite").parquet(batch_path(path, feed, batch))
 
 
 def write_everywhere(

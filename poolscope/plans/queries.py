@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from poolscope.functions.casting import cast_attribute
 from poolscope.functions.decode import decode_message
 from poolscope.functions.identity import source_name
-from poolscope.operators import incremental, logparse, notify, quality, reconcile, schema, select, sinks
+from poolscope.operators import bunches, incremental, logparse, notify, quality, reconcile, schema, select, sinks, sketches, upsert
 from poolscope.operators.dedupe import latest_documents, union_sources
 from poolscope.operators.documents import build_documents, drop_root_tasks
 from poolscope.operators.enrich import add_affiliation, attach_pool, row_bound
@@ -874,6 +874,84 @@ def streamed_series_histogram(spark: SparkSession, sf: str) -> DataFrame:
         spark, closed, histograms.SERIES_BUCKETS, LAUNCH_TIME - MONTH, LAUNCH_TIME, reconcile.SERIES_STEP, empty=None)
 
 
+# ------------------------------------------------------------------- replaced, united, counted
+
+
+def upserted_index(spark: SparkSession, sf: str) -> DataFrame:
+    """An index after three writes: all documents, newer ones of every third, and an old batch that comes late."""
+    fields = ["doc_id", "GlobalJobId", "QDate", "RecordTime", "Status", "ExitCode"]
+    docs = sinks.route(_docs(spark, sf, fields, source="events"), "jobs")
+    target = scratch_path(spark, "upserted")
+    third = F.pmod(F.substring_index(F.split("GlobalJobId", "#")[1], ".", 1).cast("bigint"), F.lit(3))
+    upsert.upsert(docs, target, 100, "queue", buckets=4)
+    upsert.upsert(docs.filter(third == 0).withColumn("Status", F.lit("Newer")), target, 200, "history", buckets=4)
+    upsert.upsert(docs.filter(third < 2).withColumn("Status", F.lit("Late")), target, 50, "queue", buckets=4)
+    return _rounded(upsert.read_current(spark, target).select("doc_id", "index", "Status", "ExitCode", "feed", "written"))
+
+
+def _in_two_runs(rows: DataFrame) -> list[DataFrame]:
+    """Two runs that have every sixth row in common."""
+    part = F.pmod(F.xxhash64("GlobalJobId"), F.lit(6))
+    return [rows.filter(part < 4), rows.filter((part > 3) | (part == 0))]
+
+
+def sketched_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct jobs per status and day from the united sketches of two runs: exact count, and whether the estimate is within its error."""
+    day = 86400
+    docs = _counted(spark, sf).filter(F.col("RecordTime").between(LAUNCH_TIME - MONTH, LAUNCH_TIME))
+    path = scratch_path(spark, "sketched-jobs")
+    for number, rows in enumerate(_in_two_runs(docs)):
+        sketches.store_run(sketches.job_sketches(rows, day), path, number)
+    estimated = sketches.estimated_jobs(spark, path, "Status", "bucket").withColumnRenamed("jobs", "_estimated")
+    exact = docs.groupBy("Status", (F.col("RecordTime") - F.col("RecordTime") % day).alias("bucket")).agg(F.count_distinct("GlobalJobId").alias("jobs"))
+    within = F.abs(F.col("_estimated") - F.col("jobs")) <= F.greatest(F.lit(1.0), 3 * sketches.ERROR * F.col("jobs"))
+    return exact.join(estimated, ["Status", "bucket"], "left").select("Status", "bucket", "jobs", F.coalesce(within, F.lit(False)).alias("within"))
+
+
+def sketched_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """The three most frequent failure reasons of each type of event from the sketches of two runs and one exact pass."""
+    replies = sample_base(spark, sf).selectExpr(
+        "g", "CAST(event_id AS STRING) AS GlobalJobId",
+        "CASE WHEN g = 1 THEN 'mapper error ' || CAST(k % 6 AS STRING) WHEN k % 7 = 3 THEN 'reason ' || CAST(event_id % 5000 AS STRING)"
+        " WHEN k % 7 = 4 THEN 'timeout ' || CAST(k % 4 AS STRING) END AS reason")
+    path = scratch_path(spark, "sketched-failures")
+    part = F.col("GlobalJobId").cast("bigint") % 2
+    for number in (0, 1):
+        sketches.store_run(sketches.value_sketches(replies.filter(part == number), ["g"], "reason"), path, number)
+    return _rounded(sketches.top_values(replies, ["g"], "reason", path, 3))
+
+
+def sketched_frequent_values(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _docs(spark, sf, ["GlobalJobId", "Status", "Site"])
+    path = scratch_path(spark, "sketched-values")
+    part = F.pmod(F.xxhash64("GlobalJobId"), F.lit(2))
+    for number in (0, 1):
+        sketches.store_run(sketches.value_sketches(docs.filter(part == number), ["Status"], "Site"), path, number)
+    return sketches.top_values(docs, ["Status"], "Site", path)
+
+
+def bunched_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Broker messages read back from bunches of 500, and whether their bunch is no larger."""
+    docs = _docs(spark, sf, ["doc_id", "GlobalJobId", "RecordTime", "Status"])
+    path = scratch_path(spark, "bunches")
+    bunches.write_bunches(sinks.broker_messages(docs).select("key", "ts"), path, 1, 500)
+    read = bunches.read_bunches(spark, path, "key string, ts long")
+    sizes = bunches.read_reports(spark, path).select(F.explode("bunches").alias("b")).select(
+        F.col("b.file").alias("bunch"), (F.col("b.messages") <= 500).alias("fits"))
+    return read.join(sizes, "bunch").select("key", "ts", "fits")
+
+
+def bunch_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a batch that was delivered twice; messages with long keys are refused."""
+    docs = _docs(spark, sf, ["doc_id", "GlobalJobId", "RecordTime", "Status"])
+    path = scratch_path(spark, "bunch-totals")
+    messages = sinks.broker_messages(docs).select(F.concat("key", F.when(F.length("key") % 2 == 0, F.repeat(F.lit("x"), 2000)).otherwise("")).alias("key"))
+    for _ in range(2):
+        bunches.write_bunches(messages, path, 7, 500, most_bytes=1000)
+    totals = sinks.upload_totals(bunches.read_reports(spark, path))
+    return _rounded(totals.select("total_sent", "total_received", "send_ratio", (F.col("upload_minutes") >= 0).alias("timed")))
+
+
 # ----------------------------------------------------------------------------------- runs
 
 _ONE_RUN = dict(launch_time=LAUNCH_TIME, history_minutes=39 * 24 * 60)
@@ -935,6 +1013,22 @@ def run_then_state(spark: SparkSession, sf: str) -> DataFrame:
     return read_checkpoints(spark, target + "/state").join(counts, "schedd", "left")
 
 
+def run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a history and a queue run counted while they wrote, unusable records among them."""
+    from poolscope.plans.runs import RunConfig, run
+
+    broken = F.when(F.col("event_id") % 11 == 5, F.lit(None).cast("bigint")).otherwise(F.col("QDate"))
+    ads = sample_ads(tune(spark), sf).withColumn("QDate", broken)
+    report: dict = {}
+    target = scratch_path(spark, "run-counts")
+    config = RunConfig(**_ONE_RUN, process_queue=True, quarantine_path=target + "/quarantine")
+    run(spark, ads, ads, config, report=report)
+    kept = spark.read.parquet(target + "/quarantine").groupBy(F.col("feed")).agg(F.count("*").alias("stored"))
+    rows = [(f"condor_{feed}", *(counts[c] for c in ("queried", "processed", "quarantined", "consistent"))) for feed, counts in report.items()]
+    made = spark.createDataFrame(rows, "feed string, queried long, processed long, quarantined long, consistent boolean")
+    return made.join(kept, "feed", "left").fillna(0, ["stored"])
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -996,6 +1090,13 @@ QUERIES = {
         streamed_incremental,
         streamed_index_histogram,
         streamed_series_histogram,
+        upserted_index,
+        sketched_jobs,
+        sketched_failures,
+        sketched_frequent_values,
+        bunched_messages,
+        bunch_totals,
+        run_counts,
         history_run,
         queue_run,
         run_then_state,

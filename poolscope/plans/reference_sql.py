@@ -597,3 +597,27 @@ SELECT schedd, greatest(max(EnteredCurrentStatus), {L} - 39 * 86400) AS last_com
 # A stream's closed buckets are those of the batch: the document a day later is in an open one, the late one is refused.
 REFERENCE_SQL["streamed_index_histogram"] = REFERENCE_SQL["index_histogram"]
 REFERENCE_SQL["streamed_series_histogram"] = REFERENCE_SQL["series_histogram"]
+
+REFERENCE_SQL |= {
+    "upserted_index": f"""{docs()}, t AS (SELECT *, CAST(split_part(split_part(GlobalJobId, '#', 2), '.', 1) AS BIGINT) % 3 = 0 AS newer FROM d)
+SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id, 'jobs-' || strftime(make_timestamp(QDate * 1000000), '%Y-%m-%d') AS index,
+  CASE WHEN newer THEN 'Newer' ELSE st END AS Status, code AS ExitCode,
+  CASE WHEN newer THEN 'history' ELSE 'queue' END AS feed, CAST(CASE WHEN newer THEN 200 ELSE 100 END AS BIGINT) AS written FROM t""",
+    "sketched_jobs": f"""{docs()}, {_COUNTED} SELECT st AS Status, rt - rt % 86400 AS bucket, count(DISTINCT GlobalJobId) AS jobs, true AS within
+FROM counted WHERE rt BETWEEN {_LO} AND {L} GROUP BY 1, 2""",
+    "sketched_failures": f"""{BASE}, f AS (SELECT g, CASE WHEN g = 1 THEN 'mapper error ' || (k % 6)::VARCHAR
+    WHEN k % 7 = 3 THEN 'reason ' || (event_id % 5000)::VARCHAR WHEN k % 7 = 4 THEN 'timeout ' || (k % 4)::VARCHAR END AS reason FROM base),
+t AS (SELECT g, reason, count(*) AS occurrences FROM f WHERE reason IS NOT NULL GROUP BY g, reason)
+SELECT CAST(g AS BIGINT) AS g, reason, occurrences FROM t QUALIFY row_number() OVER (PARTITION BY g ORDER BY occurrences DESC, reason) <= 3""",
+    "sketched_frequent_values": REFERENCE_SQL["frequent_values"],
+    "bunched_messages": f"{docs()} SELECT GlobalJobId || '#' || rt::VARCHAR AS key, rt * 1000 AS ts, true AS fits FROM d",
+    "bunch_totals": f"""{docs()}, m AS (SELECT GlobalJobId || '#' || rt::VARCHAR AS key FROM d),
+t AS (SELECT count(*) FILTER (length(key) % 2 = 1) AS s, count(*) AS r FROM m)
+SELECT s AS total_sent, r AS total_received, round(s / r, 6) AS send_ratio, true AS timed FROM t""",
+    "run_counts": f"""{docs()}, r AS (SELECT 'condor_history' AS feed, event_id % 11 = 5 AS bad FROM d
+  WHERE EnteredCurrentStatus >= {L} - 39 * 86400 - 720 OR CRAB_PostJobLastUpdate >= {L} - 39 * 86400 - 720
+  UNION ALL SELECT 'condor_queue', event_id % 11 = 5 FROM d
+  WHERE JobStatus NOT IN (3, 4) OR EnteredCurrentStatus >= {L} - 3660 OR CRAB_PostJobLastUpdate >= {L} - 3660)
+SELECT feed, count(*) AS queried, count(*) FILTER (NOT bad) AS processed, count(*) FILTER (bad) AS quarantined, true AS consistent,
+  count(*) FILTER (bad) AS stored FROM r GROUP BY feed""",
+}

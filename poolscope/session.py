@@ -61,3 +61,16 @@ def _local_dir() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark resolves it on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI of the file system that Spark resolves it on, for readers and writers other than Spark's."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
