@@ -164,13 +164,23 @@ def _sets(width: int, wanted):
     schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
+        bits, done = wanted.value, set()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             kept = batch.filter(pa.array(bits[np.mod(ids, FILTER_BITS)]))
+            ids = kept.column("doc_id").to_pylist()
             for first, data, offsets in text_slices(kept.column("text")):
-                sets = [tokens.tobytes() for tokens in shingle_sets(data, offsets, width)]
-                yield pa.record_batch([kept.column("doc_id").slice(first, len(sets)), pa.array(sets, pa.binary())], schema=schema)
+                rows = []
+                for k, tokens in enumerate(shingle_sets(data, offsets, width)):
+                    key = (ids[first + k], *_set_hash(tokens))
+                    if key in done:  # a repeated row
+                        continue
+                    if len(done) < 100_000:
+                        done.add(key)
+                    rows.append((ids[first + k], tokens.tobytes()))
+                if rows:
+                    found, sets = zip(*rows)
+                    yield pa.record_batch([pa.array(found, pa.int64()), pa.array(sets, pa.binary())], schema=schema)
         give_back_memory()
 
     return run
@@ -315,7 +325,8 @@ class _Join:
         bits[np.array(slots.toArrow().column(0), dtype=np.int64)] = True  # at most FILTER_BITS rows
         # sets that the filter lets through by chance meet no pair
         sets = self.docs.mapInArrow(_sets(self.width, self.context.broadcast(bits)), "doc_id long, tokens binary")
-        sets = stored(sets, "jaccard-sets")
+        # rows that repeat an id and a text are one set: else each pair would be compared once for every two of its copies
+        sets = stored(sets.repartition("doc_id").dropDuplicates(["doc_id", "tokens"]), "jaccard-sets")
         both = named.join(sets.toDF("rep_a", "tokens_a"), "rep_a").join(sets.toDF("rep_b", "tokens_b"), "rep_b")
         both = both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "tokens_a", "tokens_b")
         return both.mapInArrow(_verified(self.percent), "a long, b long")

@@ -54,9 +54,11 @@ def _encoded(vocabulary_path: str, keep_space: bool, end_id: int):
         seen = np.unique(np.repeat(np.arange(len(lengths)), lengths) * vocabulary + ids) % vocabulary
         terms, counts = np.unique(seen, return_counts=True)
         kind = np.uint16 if vocabulary <= 65536 else np.uint32
+        ids, begins, parts, seen = ids.astype(kind).tobytes(), None, None, None
+        give_back_memory()
         return pa.table({
             "shard": pa.array([key[0].as_py()], pa.int32()), "doc_ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-            "lengths": pa.array([lengths.tolist()], pa.list_(pa.int64())), "ids": pa.array([ids.astype(kind).tobytes()], pa.binary()),
+            "lengths": pa.array([lengths.tolist()], pa.list_(pa.int64())), "ids": pa.array([ids], pa.binary()),
             "terms": pa.array([terms.tolist()], pa.list_(pa.int32())), "doc_counts": pa.array([counts.tolist()], pa.list_(pa.int64()))})
 
     return run

@@ -12,7 +12,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from poolscope.llm import batches, collocation, fillmiddle, fmindex, secretscan, substrings
+from poolscope.llm import batches, collocation, fillmiddle, fmindex, jaccard, secretscan, substrings
 from poolscope.llm.common import settled, stored
 from poolscope.session import shared_dir
 
@@ -327,3 +327,10 @@ def test_batches_of_word_texts_hold_every_row(spark):
     held = [x for r in made.manifest.collect() for x in batches.load_batch(r.path).rows.column("doc_id").to_pylist()]
     assert Counter(held) == Counter(i for i, _ in ODD)
     assert pa.__version__
+
+
+def test_repeated_rows_are_one_set(spark):
+    near = similar("x")
+    texts = [(1, BASE)] * 300 + [(2, near)] * 300 + [(3, " ".join(f"g{k}" for k in range(40)))]
+    found = Counter((r.doc_id, r.component_id) for r in jaccard.jaccard_components(rows(spark, texts)).collect())
+    assert found == {(1, 1): 300, (2, 1): 300, (3, 3): 1}
