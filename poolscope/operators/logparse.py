@@ -292,9 +292,12 @@ def parse_logs(lines: DataFrame) -> DataFrame:
     return classify_messages(parse_headers(lines))
 
 
-def route_logs(events: DataFrame, template: str = "logmon-spider") -> DataFrame:
-    """Events with their day and daily index."""
-    day = F.to_date("timestamp")
+def route_logs(events: DataFrame, template: str, arrived: Column) -> DataFrame:
+    """Events with their day and daily index ``template-YYYY-MM-DD``.
+
+    A line without a time of its own belongs to the day it ``arrived`` (a date, or a time).
+    """
+    day = F.coalesce(F.to_date("timestamp"), F.to_date(arrived))
     return events.withColumn("date", day).withColumn(
         "index", F.concat(F.lit(template + "-"), day.cast("string"))
     )

@@ -7,12 +7,14 @@ holds the equivalent SQL. Fractions are rounded to six places on both sides.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from poolscope import catalog
 from poolscope.functions.casting import cast_attribute
 from poolscope.functions.decode import decode_message
 from poolscope.functions.identity import source_name
@@ -708,6 +710,11 @@ def log_lines_of(base: DataFrame) -> DataFrame:
     )
 
 
+def _arrived() -> Column:
+    """The day on which the lines arrive."""
+    return F.lit("2024-02-01").cast("date")
+
+
 LOG_FIELDS = list(dict.fromkeys(f for *_, fields in logparse.MESSAGES for f in fields))
 
 
@@ -728,8 +735,22 @@ def log_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def streamed_log_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of log files that appear in two folders, counted by source, type and index."""
+    from poolscope.sources.loglines import tail_logs
+    from poolscope.streaming.logs import log_stream, write_log_stream
+
+    target = scratch_path(tune(spark), "log-files")
+    lines = _log_lines(spark, sf)
+    for source in ("condor_queue", "condor_history"):
+        lines.filter(F.col("spider_source") == source).select("value").write.text(f"{target}/{source}")
+    events = log_stream(tail_logs(spark, f"{target}/condor_queue", f"{target}/condor_history"), "run-logs", _arrived())
+    write_log_stream(events, target + "/out", target + "/state").awaitTermination()
+    return spark.read.parquet(target + "/out").groupBy("spider_source", "message_type", "index").agg(F.count("*").alias("events"))
+
+
 def log_index_counts(spark: SparkSession, sf: str) -> DataFrame:
-    events = logparse.route_logs(logparse.parse_logs(_log_lines(tune(spark), sf)))
+    events = logparse.route_logs(logparse.parse_logs(_log_lines(tune(spark), sf)), "run-logs", _arrived())
     return events.groupBy("index", "message_type").agg(F.count("*").alias("events"))
 
 
@@ -787,7 +808,7 @@ def streamed_logs(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(tune(spark), sf, "events").schema
     rows = spark.readStream.schema(schema).parquet(table_glob(sf, "events"))
     target = scratch_path(spark, "events")
-    query = write_log_stream(log_stream(log_lines_of(observations(rows))), target, target + "-state")
+    query = write_log_stream(log_stream(log_lines_of(observations(rows)), "run-logs", _arrived()), target, target + "-state")
     query.awaitTermination()
     stored = spark.read.parquet(target)
     return stored.select("event_id", "message_type", "schedd_name", F.col("index"))
@@ -874,6 +895,130 @@ def streamed_series_histogram(spark: SparkSession, sf: str) -> DataFrame:
         spark, closed, histograms.SERIES_BUCKETS, LAUNCH_TIME - MONTH, LAUNCH_TIME, reconcile.SERIES_STEP, empty=None)
 
 
+# -------------------------------------------------------------------- files in and out
+
+
+def pools_from_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Schedulers placed by a pool file, ``{pool: [collector, ...]}``, with pools and collectors in the order of the file."""
+    listed = _pools(spark, sf).groupBy("CMS_Pool", "pool_order").agg(
+        F.array_sort(F.collect_list(F.struct("collector_order", "collector"))).alias("c"))
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("pool_order", "CMS_Pool", "c"))), lambda p: F.struct(
+        p["CMS_Pool"].alias("key"), F.transform(p["c"], lambda c: c["collector"]).alias("value")))
+    path = scratch_path(spark, "pools")
+    listed.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.text(path)  # the regions: a fixed size
+    return registry.schedulers(_registry(spark, sf), registry.read_pools(spark, path))
+
+
+def stored_directory(spark: SparkSession, sf: str) -> DataFrame:
+    """The directory as stored by the first of two refreshes: the second comes within a day and does nothing."""
+    path = scratch_path(spark, "directory")
+    directory = _directory(spark, sf)
+    affiliations.refresh_directory(spark, directory, path, LAUNCH_TIME)
+    affiliations.refresh_directory(spark, directory.limit(3), path, LAUNCH_TIME + 3600)
+    return affiliations.read_directory(spark, path)
+
+
+def offline_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of the flat JSON documents of an offline conversion, one line for each document."""
+    from poolscope.plans.runs import convert_offline
+
+    path = scratch_path(spark, "offline")
+    convert_offline(select.monitored(sample_ads(tune(spark), sf, maps=True)), path, LAUNCH_TIME)
+    fields = F.from_json("value", "map<string,variant>")
+    lines = spark.read.text(path).select(fields.alias("f"))
+    text = lambda name: F.try_variant_get(F.col("f")[name], "$", "string")
+    return _rounded(lines.select(
+        text("GlobalJobId").alias("GlobalJobId"), text("Status").alias("Status"), text("ExitCode").cast("bigint").alias("ExitCode"),
+        text("GLIDEIN_Memory").cast("bigint").alias("GLIDEIN_Memory"), text("TransferQueued").alias("TransferQueued"),
+        text("SomethingElse").alias("SomethingElse"), text("ChirpCMSSWElapsed").cast("double").alias("ChirpCMSSWElapsed"),
+        F.col("f")["extra"].isNull().alias("flat")))
+
+
+TYPED_FIELDS = "GLIDEIN_Job_Max_Time GLIDEIN_Memory ImageSize JobStartDate TransferQueued SomethingElse ChirpCMSSWElapsed ChirpCMSSWLastUpdate QDate".split()
+
+
+def typed_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """Kinds and values of fields in index bodies and in broker payloads: those without a column, statistics and dates."""
+    fields = ["doc_id", "GlobalJobId", "QDate", "RecordTime", "extra", "chirp"]
+    docs = _docs(spark, sf, fields, maps=True)
+    payload = F.get_json_object("value", "$.payload")
+    bodies = sinks.index_bodies(docs).select(F.lit("index").alias("store"), F.col("document").alias("body")).unionByName(
+        sinks.broker_messages(docs).select(F.lit("broker").alias("store"), payload.alias("body")))
+    read = bodies.select("store", F.from_json("body", "map<string,variant>").alias("f"))
+    entries = F.filter(F.map_entries("f"), lambda e: e["key"].isin(*TYPED_FIELDS))
+    each = read.select(
+        "store", F.try_variant_get(F.col("f")["GlobalJobId"], "$", "string").alias("GlobalJobId"), F.explode(entries).alias("e"))
+    kind, text = schema.kind_of(F.col("e.value")), F.try_variant_get("e.value", "$", "string")
+    return each.select(
+        "store", "GlobalJobId", F.col("e.key").alias("field"), kind.alias("kind"),
+        # floats that are whole numbers, as such
+        F.when(kind == "float", F.try_variant_get("e.value", "$", "double").cast("bigint").cast("string")).otherwise(text).alias("value"))
+
+
+def fed_stores(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of one run in two indexes and with the broker."""
+    from poolscope.plans.runs import RunConfig, run
+
+    target = scratch_path(spark, "stores")
+    config = RunConfig(
+        **_ONE_RUN, feed_index=True, index_paths=(target + "/one", target + "/two"), feed_broker=True, broker_path=target + "/broker")
+    run(spark, sample_ads(tune(spark), sf), None, config)
+    counts = [sinks.read_index(spark, f"{target}/{name}").select(F.lit(name).alias("store"), "doc_id") for name in ("one", "two")]
+    sent = spark.read.schema("key string, value string").json(target + "/broker").select(F.lit("broker").alias("store"), F.col("key").alias("doc_id"))
+    both = counts[0].unionByName(counts[1]).unionByName(sent)
+    return both.groupBy("store").agg(F.count("*").alias("documents"), F.count_distinct("doc_id").alias("ids"))
+
+
+def mapped_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """How the index maps fields that documents have: the stored mapping against the documents' own JSON."""
+    path = scratch_path(spark, "mapping")
+    spark.createDataFrame([(json.dumps(json.loads(catalog.dump_mapping())),)], "value string").coalesce(1).write.text(path)
+    properties = F.from_json(F.get_json_object("value", "$.mappings.properties"), "map<string,struct<type:string,format:string>>")
+    mapping = spark.read.text(path).select(F.explode(properties).alias("field", "m")).select("field", "m.type", "m.format")
+    names = ["GlobalJobId", "QDate", "RecordTime", "CoreHr", "ExitCode", "HasSingularity", "RequestCpus", "Status"]
+    docs = _docs(spark, sf, names)
+    keys = docs.select(F.explode(F.json_object_keys(sinks.document_json(docs))).alias("field"))
+    counts = keys.groupBy("field").agg(F.count("*").alias("documents"))
+    return counts.join(F.broadcast(mapping), "field", "left")
+
+
+def limited_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """How many records a look-up of at most seven shows of each scheduler in a list of two, and whether all meet the constraint."""
+    ads = sample_ads(tune(spark), sf)
+    shown = [
+        select.lookup(
+            ads, LAUNCH_TIME, history=True, minutes=30 * 24 * 60, constraint="RequestCpus > 2", schedulers=name,
+            projection="GlobalJobId, RequestCpus", limit=7).withColumn("schedd", F.lit(name))
+        for name in ("crab3@sched1.example.org", "nowhere")]
+    rows = shown[0].unionByName(shown[1])
+    return rows.groupBy("schedd").agg(F.count("*").alias("records"), F.every(F.col("RequestCpus") > 2).alias("fitting"))
+
+
+def micro_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of each micro-batch of a folder with three files, one file at a time."""
+    from poolscope.sources.ads import read_ads_stream
+
+    target = scratch_path(spark, "micro-batches")
+    ads = sample_ads(tune(spark), sf).select("GlobalJobId", "JobStatus", "event_id")
+    for part in range(3):
+        _feed(ads.filter(F.col("event_id") % 3 == part), target + "/in")
+    rows = read_ads_stream(spark, target + "/in", ads.schema, files_per_batch=1)
+
+    def send(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{target}/out/part={number}")
+
+    rows.writeStream.foreachBatch(send).option("checkpointLocation", target + "/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target + "/out").groupBy("batch").agg(F.count("*").alias("records"), F.count_distinct("GlobalJobId").alias("jobs"))
+
+
+def decoded_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages as a worker wrote them: three compressed texts, a plain one, and one that is cut off."""
+    # base64 of zlib of "Job killed", of "Fehler: über 2 GB\nEnde", and of the empty text.
+    given = ["eJzzyk9SyM7MyUlNAQATdgOx", "eJxzS83ISS2yUji8Jym1SMFIwd2JyzUvJRUAZPEH6g==", "eJwDAAAAAAE=", "plain words", "eJzzyk9SyM7M"]
+    which = F.element_at(F.array(*[F.lit(t) for t in given]), (F.col("event_id") % 5 + 1).cast("int"))
+    return sample_base(spark, sf).select("event_id", decode_message(which).alias("text"))
+
+
 # ------------------------------------------------------------------- replaced, united, counted
 
 
@@ -1090,6 +1235,16 @@ QUERIES = {
         streamed_incremental,
         streamed_index_histogram,
         streamed_series_histogram,
+        pools_from_file,
+        stored_directory,
+        streamed_log_files,
+        offline_documents,
+        typed_bodies,
+        fed_stores,
+        mapped_fields,
+        limited_lookup,
+        micro_batches,
+        decoded_literals,
         upserted_index,
         sketched_jobs,
         sketched_failures,

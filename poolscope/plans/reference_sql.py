@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from poolscope import catalog
-from poolscope.plans.queries import LOG_FIELDS, LOG_LINE_SQL
-from poolscope.operators import logparse
+from poolscope.plans.queries import LOG_LINE_SQL, LOG_MESSAGE_SQL
 from poolscope.sources.samples import LAUNCH_TIME, ads_cte, base_sql
 
 L = f"{LAUNCH_TIME}::BIGINT"
+# Codes of the scheduler, stated here once more.
+STATUSES = {0: "Unexpanded", 1: "Idle", 2: "Running", 3: "Removed", 4: "Completed", 5: "Held", 6: "Error"}
+UNIVERSES = {5: "Vanilla", 7: "Scheduler"}  # those that the sample records have
 H = "3600::DOUBLE"
 
 
@@ -28,7 +29,7 @@ d0 AS (SELECT *,
   lower(coalesce(CMS_Type, 'unknown')) = 'analysis' OR coalesce(CMS_JobType, '') = 'Analysis' AS an,
   CASE WHEN JobStatus IN (3, 4, 6) THEN coalesce(nullif(CompletionDate, 0), nullif(JobFinishedHookDone, 0), {L})
     ELSE {L} END AS rt,
-  {_case("JobStatus", catalog.JOB_STATUS)} AS st,
+  {_case("JobStatus", STATUSES)} AS st,
   CASE WHEN JobStatus = 2 AND EnteredCurrentStatus < {L} THEN {L} - EnteredCurrentStatus
     ELSE coalesce(RemoteWallClockTime, 0) END AS wall,
   CASE WHEN JobStatus = 2 AND EnteredCurrentStatus < {L} THEN {L} - EnteredCurrentStatus
@@ -283,46 +284,69 @@ _LINES = f"""{BASE},
 lines AS (SELECT event_id, {LOG_LINE_SQL.replace("{S}", "VARCHAR")} AS value,
   CASE WHEN k % 2 = 0 THEN 'condor_queue' ELSE 'condor_history' END AS spider_source FROM base)"""
 
-_HEADER = logparse._HEADER.replace("'", "''")
-
+# What the planted log lines must give, by their number: types, and values as SQL. Stated here once more, not taken from the parser.
+_SCHEDD, _KEY = "'sched' || user_id::VARCHAR", "'Key' || k::VARCHAR"
+_LOCAL_SCHEMA, _JOB = "'/data/schema' || k::VARCHAR || '.json'", "'job#' || event_id::VARCHAR"
+LOG_TYPES = {
+    0: "history_schedd_response", 1: "queue_schedd_response", 2: "queue_end", 3: "history_end", 5: "failed_to_query",
+    6: "failed_to_process_history", 7: "failed_to_query", 8: "failed_to_convert", 9: "schedd_history_timeout", 10: "schedd_queue_outoftime",
+    11: "schedd_queue_nostart", 12: "schedd_queue_timeout", 14: "es_timeout_error", 15: "load_local_validation_schema",
+    16: "invalid_local_validation", 17: "validation_schema_not_found", 18: "validation_fail_unknown_key", 19: "validation_fail_conflict",
+    21: "validator_invalid_nested", 22: "validator_inconsistent_list", 23: "validator_incorrect_type_in_list", 24: "validator_incorrect_type",
+    25: "amq_bunching", 27: "script_end", 28: "inconsistent_doc_number", 29: "listener_premature_close", 30: "listener_abort",
+    31: "es_failed_to_index|failed_to_process_history",
+}
+#: Counts are only read from these if they are above zero.
+COUNTED_TYPES = {4: "es_failed_to_index", 13: "listener_end", 26: "script_start"}
+LOG_VALUES = {
+    "schedd_name": ("VARCHAR", {n: _SCHEDD for n in (0, 1, 6, 7, 8, 9, 10, 11, 12)} | {31: "'sched1'"}),
+    "response_count": ("BIGINT", {0: "k", 1: "k"}),
+    "query_time": ("DOUBLE", {0: "1.25", 1: "2.75"}),
+    "queue_processing_time": ("DOUBLE", {2: "3.5"}),
+    "total_sent": ("BIGINT", {2: "k"}),
+    "total_received": ("BIGINT", {2: "k + 1"}),
+    "total_upload_time": ("DOUBLE", {2: "1.25"}),
+    "history_processing_time": ("DOUBLE", {3: "4.75"}),
+    "n_failed_to_index": ("BIGINT", {4: "nullif(k, 0)", 31: "5"}),
+    "es_error_message": ("VARCHAR", {4: "CASE WHEN k > 0 THEN '[(reason, 3)]' END", 14: "'read timed out'", 31: "'[x]'"}),
+    "error_message": ("VARCHAR", {6: "'broken: pipe'", 7: "'no route'", 8: "'KeyError QDate'", 31: "'Failed to index 5 documents to ES: [x]'"}),
+    "timelimit": ("BIGINT", {10: "60"}),
+    "listener_total_received": ("BIGINT", {13: "nullif(k, 0)"}),
+    "validation_schema": ("VARCHAR", {15: _LOCAL_SCHEMA, 16: _LOCAL_SCHEMA, 17: """'"schema' || k::VARCHAR || '.json"'"""}),
+    "globaljobid": ("VARCHAR", {18: _JOB, 19: _JOB}),
+    "schema": ("VARCHAR", {18: """'"jobs.json"'""", 19: """'"jobs.json"'"""}),
+    "unknown_key": ("VARCHAR", {}),
+    "unknown_key_value": ("VARCHAR", {}),
+    "offending_key": ("VARCHAR", {22: _KEY, 23: _KEY, 24: _KEY}),
+    "offending_value": ("VARCHAR", {22: "'[1]'", 23: "'[1]'", 24: "'1'"}),
+    "amq_bunch_size": ("BIGINT", {25: "5000"}),
+    "n_schedds": ("BIGINT", {26: "nullif(k, 0)"}),
+    "total_processing_time": ("DOUBLE", {27: "12.5"}),
+}
 
-def _quoted(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
 
+def _of_line(kind: str, values: dict[int, str]) -> str:
+    arms = " ".join(f"WHEN {n} THEN {value}" for n, value in values.items())
+    return f"CAST(CASE event_id % 36 {arms} ELSE NULL END AS {kind})" if values else f"CAST(NULL AS {kind})"
 
-def _log_values() -> str:
-    types = ", ".join(
-        f"CASE WHEN regexp_matches(message, {_quoted(pattern)}) THEN '{name}' END"
-        for name, _, pattern, _ in logparse.MESSAGES
-    )
-    columns = []
-    for field in LOG_FIELDS:
-        found = []
-        for _, _, pattern, fields in logparse.MESSAGES:
-            if field in fields:
-                found.append(f"nullif(regexp_extract(message, {_quoted(pattern)}, {fields.index(field) + 1}), '')")
-        value = f"coalesce({', '.join(found)})"
-        for dtype, fields in logparse.FIELD_TYPES.items():
-            if field in fields:
-                value = f"TRY_CAST({value} AS {dtype})"
-                if dtype == "double":
-                    value = f"round({value}, 6)"
-        columns.append(f"{value} AS {field}")
-    return f"[x FOR x IN [{types}] IF x IS NOT NULL] AS message_types, {', '.join(columns)}"
 
+_TYPES = {n: f"'{name}'" for n, name in LOG_TYPES.items()} | {n: f"CASE WHEN k > 0 THEN '{name}' END" for n, name in COUNTED_TYPES.items()}
+_LOG_COLUMNS = ", ".join(f"{_of_line(kind, values)} AS {name}" for name, (kind, values) in LOG_VALUES.items())
 
+# Lines 20 and 33 are noise; 35 has no header.
 LOGS = f"""{_LINES},
-heads AS (SELECT event_id, spider_source, value,
-  epoch(TRY_CAST(replace(nullif(regexp_extract(value, '{_HEADER}', 1), ''), ',', '.') AS TIMESTAMP)) AS at0,
-  nullif(regexp_extract(value, '{_HEADER}', 2), '') AS log_source,
-  nullif(regexp_extract(value, '{_HEADER}', 3), '') AS log_level,
-  CASE WHEN regexp_matches(value, '{_HEADER}') THEN regexp_extract(value, '{_HEADER}', 4) ELSE value END AS message
-  FROM lines WHERE NOT contains(value, 'SCHEMA_VALIDATOR: unknown key=')),
-parsed AS (SELECT event_id, spider_source, floor(at0)::BIGINT AS logged_at, log_source, log_level, message, {_log_values()}
-  FROM heads)
+heads AS (SELECT base.*, spider_source, event_id % 36 <> 35 AS headed, value FROM base JOIN lines USING (event_id)
+  WHERE event_id % 36 NOT IN (20, 33)),
+parsed AS (SELECT event_id, spider_source,
+  CASE WHEN headed THEN floor(epoch(make_timestamp(2024, 1, 1 + k % 30, 9, 48, (user_id % 60)::DOUBLE)))::BIGINT END AS logged_at,
+  CASE WHEN headed THEN 'root' END AS log_source, CASE WHEN headed THEN CASE WHEN k % 3 = 0 THEN 'ERROR' ELSE 'WARNING' END END AS log_level,
+  CASE WHEN headed THEN {LOG_MESSAGE_SQL.replace("{S}", "VARCHAR")} ELSE value END AS message,
+  coalesce({_of_line("VARCHAR", _TYPES)}, '') AS message_types, nullif(split_part(coalesce({_of_line("VARCHAR", _TYPES)}, ''), '|', 1), '') AS message_type,
+  {_LOG_COLUMNS} FROM heads)
 """
 
-_LOG_DAY = "strftime(make_timestamp(logged_at * 1000000), '%Y-%m-%d')"
+# a line without a time belongs to the day it arrived
+_LOG_DAY = "coalesce(strftime(make_timestamp(logged_at * 1000000), '%Y-%m-%d'), '2024-02-01')"
 
 _EXTRA = f"""{docs()},
 x AS (SELECT GlobalJobId, unnest([
@@ -362,7 +386,7 @@ _IN_FEED = f"{docs(where='{}')} SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_
 REFERENCE_SQL: dict[str, str] = {
     "job_status_docs": f"""{docs()} SELECT GlobalJobId, GlobalJobId || '#' || rt::VARCHAR AS doc_id, rt AS RecordTime,
   coalesce(nullif(CompletionDate, 0), {L}) AS DataCollection, rt AS DataCollectionDate, schedd AS ScheddName,
-  'Unknown' AS CMS_Pool, lower(CMS_Type) AS Type, st AS Status, {_case("JobUniverse", catalog.JOB_UNIVERSE)} AS Universe,
+  'Unknown' AS CMS_Pool, lower(CMS_Type) AS Type, st AS Status, {_case("JobUniverse", UNIVERSES)} AS Universe,
   code AS ExitCode, ExitCode AS CondorExitCode, (code <> 0)::BIGINT AS JobFailed, {ERROR_TYPE} AS ErrorType,
   {ERROR_CLASS} AS ErrorClass FROM d""",
     "exit_code_summary": f"""{docs()} SELECT lower(CMS_Type) AS Type, st AS Status, {ERROR_CLASS} AS ErrorClass,
@@ -556,8 +580,8 @@ FROM inferred i FULL JOIN clean c USING (path)""",
   UNION ALL SELECT 'Site.Extra' FROM n WHERE site AND k % 4 <> 1
   UNION ALL SELECT 'Steps[].Name' FROM n WHERE k % 8 = 3) GROUP BY path""",
     "log_events": f"""{LOGS} SELECT event_id, spider_source, logged_at, log_source, log_level, message,
-  message_types[1] AS message_type, array_to_string(message_types, '|') AS message_types, {", ".join(LOG_FIELDS)} FROM parsed""",
-    "log_index_counts": f"""{LOGS} SELECT 'logmon-spider-' || {_LOG_DAY} AS index, message_types[1] AS message_type,
+  message_type, message_types, {", ".join(LOG_VALUES)} FROM parsed""",
+    "log_index_counts": f"""{LOGS} SELECT 'run-logs-' || {_LOG_DAY} AS index, message_type,
   count(*) AS events FROM parsed GROUP BY 1, 2""",
     "missing_fields": f"""{_LINES} SELECT DISTINCT unnest(regexp_extract_all(value, 'key=([^,]*)', 1)) AS field FROM lines
 WHERE contains(value, 'key=') AND regexp_extract(value, 'key=([^,]*)', 1) NOT IN ('', 'Owner')""",
@@ -575,8 +599,8 @@ GROUP BY schedd""",
     "streamed_documents": f"""{docs()} SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id,
   'jobs-' || strftime(make_timestamp(QDate * 1000000), '%Y-%m-%d') AS index, st AS Status, code AS ExitCode, site AS Site,
   round(core_hr, 6) AS CoreHr FROM d""",
-    "streamed_logs": f"""{LOGS} SELECT event_id, message_types[1] AS message_type, schedd_name,
-  'logmon-spider-' || {_LOG_DAY} AS index FROM parsed""",
+    "streamed_logs": f"""{LOGS} SELECT event_id, message_type, schedd_name,
+  'run-logs-' || {_LOG_DAY} AS index FROM parsed""",
     "history_run": f"""{docs(where=_FINISHED)} SELECT GlobalJobId || '#' || rt::VARCHAR AS doc_id,
   'jobs-' || strftime(make_timestamp(QDate * 1000000), '%Y-%m-%d') AS index, 'Unknown' AS CMS_Pool, st AS Status,
   code AS ExitCode, site AS Site, round(core_hr, 6) AS CoreHr FROM d""",
@@ -621,3 +645,38 @@ SELECT s AS total_sent, r AS total_received, round(s / r, 6) AS send_ratio, true
 SELECT feed, count(*) AS queried, count(*) FILTER (NOT bad) AS processed, count(*) FILTER (bad) AS quarantined, true AS consistent,
   count(*) FILTER (bad) AS stored FROM r GROUP BY feed""",
 }
+
+REFERENCE_SQL |= {
+    "pools_from_file": REFERENCE_SQL["registry_schedulers"],
+    "stored_directory": REFERENCE_SQL["affiliation_directory"],
+    "streamed_log_files": f"""{LOGS} SELECT spider_source, message_type, 'run-logs-' || {_LOG_DAY} AS index, count(*) AS events
+FROM parsed GROUP BY 1, 2, 3""",
+    "offline_documents": f"""{STATS} SELECT GlobalJobId, st AS Status, code AS ExitCode, CASE WHEN k % 2 = 0 THEN k ELSE k + 1 END AS GLIDEIN_Memory,
+  CASE WHEN k % 3 = 0 THEN 'true' ELSE 'false' END AS TransferQueued, 'text ' || k::VARCHAR AS SomethingElse,
+  round(CASE WHEN has THEN t_elapsed END, 6) AS ChirpCMSSWElapsed, true AS flat FROM r""",
+    "fed_stores": f"""{docs(where=_FINISHED)} SELECT store, count(*) AS documents, count(DISTINCT GlobalJobId || '#' || rt::VARCHAR) AS ids
+FROM d, (VALUES ('one'), ('two'), ('broker')) AS s(store) GROUP BY store""",
+    "limited_lookup": f"""{ads_cte()} SELECT split_part(GlobalJobId, '#', 1) AS schedd, least(count(*), 7) AS records, true AS fitting FROM job_ads
+WHERE {_MONITORED} AND (EnteredCurrentStatus >= {L} - 43201 * 60 OR CRAB_PostJobLastUpdate >= {L} - 43201 * 60) AND RequestCpus > 2
+  AND split_part(GlobalJobId, '#', 1) = 'crab3@sched1.example.org' GROUP BY 1""",
+    "micro_batches": f"""{ads_cte()} SELECT event_id % 3 AS batch, count(*) AS records, count(DISTINCT GlobalJobId) AS jobs FROM job_ads GROUP BY 1""",
+    "decoded_literals": f"""{BASE} SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'Job killed' WHEN 1 THEN 'Fehler: über 2 GB' || chr(10) || 'Ende'
+  WHEN 2 THEN '' WHEN 3 THEN 'plain words' ELSE 'eJzzyk9SyM7M' END AS text FROM base""",
+    "typed_bodies": f"""{STATS}, b AS (SELECT *, unnest([
+    {{'store': 'index', 'ms': 1}}, {{'store': 'broker', 'ms': 1000}}]) AS s FROM r),
+x AS (SELECT GlobalJobId, s.store AS store, unnest([
+  {{'field': 'QDate', 'kind': 'int', 'value': (QDate * s.ms)::VARCHAR}},
+  {{'field': 'GLIDEIN_Job_Max_Time', 'kind': 'int', 'value': (k * 60)::VARCHAR}},
+  {{'field': 'GLIDEIN_Memory', 'kind': 'int', 'value': CASE WHEN k % 2 = 0 THEN k::VARCHAR ELSE (k + 1)::VARCHAR END}},
+  {{'field': 'ImageSize', 'kind': 'int', 'value': (k * 11)::VARCHAR}},
+  {{'field': 'JobStartDate', 'kind': 'int', 'value': CASE WHEN k % 4 > 1 THEN (e * s.ms)::VARCHAR END}},
+  {{'field': 'TransferQueued', 'kind': 'bool', 'value': CASE WHEN k % 3 = 0 THEN 'true' ELSE 'false' END}},
+  {{'field': 'SomethingElse', 'kind': 'str', 'value': 'text ' || k::VARCHAR}},
+  {{'field': 'ChirpCMSSWElapsed', 'kind': 'float', 'value': CASE WHEN has THEN t_elapsed::BIGINT::VARCHAR END}},
+  {{'field': 'ChirpCMSSWLastUpdate', 'kind': 'float', 'value': CASE WHEN has THEN (t_update::BIGINT * s.ms)::VARCHAR END}}]) AS p FROM b)
+SELECT store, GlobalJobId, p.field AS field, p.kind AS kind, p.value AS value FROM x WHERE p.value IS NOT NULL""",
+    "mapped_fields": f"""{docs()}, n AS (SELECT count(*) AS documents FROM d)
+SELECT field, documents, type, format FROM n, (VALUES ('GlobalJobId', NULL, NULL), ('Status', NULL, NULL), ('CoreHr', NULL, NULL),
+  ('ExitCode', NULL, NULL), ('RequestCpus', 'long', NULL), ('HasSingularity', 'boolean', NULL), ('QDate', 'date', 'epoch_second'),
+  ('RecordTime', 'date', 'epoch_second')) AS m(field, type, format)""",
+}

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from poolscope.operators.logparse import parse_logs, route_logs
 
 
-def log_stream(lines: DataFrame) -> DataFrame:
-    """Parsed and routed events of a line stream. No state."""
-    return route_logs(parse_logs(lines))
+def log_stream(lines: DataFrame, template: str, arrived: Column | None = None) -> DataFrame:
+    """Parsed and routed events of a line stream. No state.
+
+    ``arrived`` is the day of lines without a time; by default that of the micro-batch.
+    """
+    return route_logs(parse_logs(lines), template, F.current_timestamp() if arrived is None else arrived)
 
 
 def write_log_stream(

@@ -356,7 +356,7 @@ def test_log_stream_equals_batch(spark, tmp_path):
     for name in ("queue", "history"):
         (tmp_path / name).mkdir()
         (tmp_path / name / "a.log").write_text("2024-01-01 00:00:00,000 : root:ERROR - Processing time for history: 1.0 mins\n")
-    events = log_stream(tail_logs(spark, str(tmp_path / "queue"), str(tmp_path / "history")))
+    events = log_stream(tail_logs(spark, str(tmp_path / "queue"), str(tmp_path / "history")), "run-logs")
     write_log_stream(events, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert {(r.spider_source, r.message_type) for r in got} == {
