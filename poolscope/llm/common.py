@@ -19,6 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Tables stored on the way to a result that ``settled`` makes; None outside of one.
 _ON_THE_WAY: ContextVar[list[str] | None] = ContextVar("on_the_way", default=None)
 
@@ -29,10 +32,24 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     if (paths := _ON_THE_WAY.get()) is not None:
         paths.append(path)
-    rows.write.parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    small_batches(spark)
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on at most ``BATCH_ROWS`` rows at once go to a Python worker and back.
+
+    Rows here are whole texts: ten thousand of them, Spark's default, are held by the executor and by the worker, outside the heap.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+
+
 def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
     """The rows that ``make()`` gives, stored; the tables that it stores on the way are removed."""
     token = _ON_THE_WAY.set([])

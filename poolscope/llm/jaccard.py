@@ -37,7 +37,7 @@ from poolscope.llm.words import mixed, shingle_sets, text_slices
 SKETCH = 1 << 20
 SEGMENTS = 64
 FILTER_BITS = 1 << 22
-HOT, SALTS, MANY, PIVOTS = 20_000, 64, 20, 24
+HOT, SALTS, MANY, PIVOTS = 20_000, 64, 3, 24
 SCALE = 100
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,7 +31,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Sample:
-    """Bound of the training data: about ``texts`` different texts of each language, ``windows`` windows of each text."""
+    """Bound of the training data: at most ``texts`` different texts of each language, ``windows`` windows of each text."""
 
     texts: int = 600
     windows: int = 4
@@ -161,12 +161,12 @@ def fit(labelled: DataFrame, sample: Sample = Sample()) -> ByteNet | None:
     """Train on a bounded sample of ``text`` and ``lang``; None if there is nothing to learn from."""
     usable = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    different = usable.select("lang", F.xxhash64("text").alias("key")).distinct()  # copies of a text count once
-    sizes = {row.lang: row["count"] for row in different.groupBy("lang").count().collect()}
-    if not sizes:
-        return None
-    share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample.texts / n)))))
-    drawn = usable.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    # copies of a text count once; of each language the texts with the smallest keys, however many there are
+    different = usable.select("lang", F.xxhash64("text").alias("key")).distinct()
+    smallest = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    chosen = different.withColumn("place", smallest).filter(F.col("place") <= sample.texts).select("lang", "key")
+    keyed = usable.withColumn("key", F.xxhash64("text"))
+    drawn = keyed.join(F.broadcast(chosen), ["lang", "key"], "left_semi")  # at most the sample's size for each language
     # copies become one row in the tasks, so no more than the sample is collected
     rows = drawn.mapInArrow(_training_windows(sample.windows), "lang string, windows binary").distinct().collect()
     rows = sorted((row.lang, bytes(row.windows)) for row in rows)

@@ -45,16 +45,20 @@ def _encoded(vocabulary_path: str, keep_space: bool, end_id: int):
         rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
         encode = encoder(vocabulary_path, keep_space)
         texts = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
-        parts, lengths = [], []
-        for _, data, offsets in text_slices(texts):
-            ids, begins = encode.encode(data, offsets, end_id)
-            parts.append(ids), lengths.append(np.diff(begins))
-        ids, lengths = np.concatenate(parts), np.concatenate(lengths)
         vocabulary = max(encode.vocabulary, end_id + 1)
-        seen = np.unique(np.repeat(np.arange(len(lengths)), lengths) * vocabulary + ids) % vocabulary
-        terms, counts = np.unique(seen, return_counts=True)
         kind = np.uint16 if vocabulary <= 65536 else np.uint32
-        ids, begins, parts, seen = ids.astype(kind).tobytes(), None, None, None
+        parts, lengths, found = [], [], np.zeros(vocabulary, dtype=np.int64)
+        for _, data, offsets in text_slices(texts):
+            ids, begins = encode.encode(data, offsets, end_id)
+            sizes = np.diff(begins)
+            parts.append(ids.astype(kind)), lengths.append(sizes)
+            # no document is in two slices, so its distinct ids are counted in its own
+            seen = np.unique(np.repeat(np.arange(len(sizes)), sizes) * vocabulary + ids) % vocabulary
+            found += np.bincount(seen, minlength=vocabulary)
+        ids, lengths = np.concatenate(parts).tobytes(), np.concatenate(lengths)
+        terms = np.flatnonzero(found)
+        counts = found[terms]
+        parts = seen = None
         give_back_memory()
         return pa.table({
             "shard": pa.array([key[0].as_py()], pa.int32()), "doc_ids": pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),

@@ -16,7 +16,7 @@ dictionary and parse into suffix arrays, this one sorts 64-bit hashes of trigger
    occurrence of any string lies in the first occurrence of its context, so nothing is missed.
 
 Each step is a question of batches (``batches``): a batch asks once for each key, however often the key occurs in it,
-and a bucket compares first places by (document id, batch). Keys of step 2 are hashed with two bases.
+and a bucket compares first places by (document id, batch). Strings of step 2 are told apart by 96 bits made from one hash.
 
 Results by case: null text counts as empty; texts shorter than ``length`` stay whole. Rows that repeat an id are
 compared in the order of batches and rows. Rows without an id come before all others. Extra columns are ignored.
