@@ -7,6 +7,8 @@ are written, and every stage removes its own tables but a narrow one with its de
 Rows are told apart by their text, so those without an id, or with an id that others have, are treated like all others: near duplicates
 are groups of texts, of which the row with the smallest id stays (rows without an id come last, equal ids by text and other
 columns); leaks and secrets are looked for in each text. Null and empty texts are no language and go in the first stage.
+
+The stages set the session's number of rows that go to Python workers at once to ``common.BATCH_ROWS``, unless it is lower.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolscope.llm import jaccard, langid, packing, secretscan, templates
-from poolscope.llm.common import remove, settled, table
+from poolscope.llm.common import remove, settled, small_batches, table
 from poolscope.session import scratch_path
 
 #: Texts whose best language scores less are rejected.
@@ -30,6 +32,7 @@ def _text_key() -> Column:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a language, or with none that scores enough, go."""
+    small_batches(spark)
     # the scorer adds columns, so the input's have other names meanwhile
     names = [name if name == "text" else f"in_{k}" for k, name in enumerate(docs.columns)]
     scored = langid.predict(docs.toDF(*names), langid.fit(docs), keep_text=True)
@@ -39,6 +42,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked texts the row with the smallest id stays, and all rows without words."""
+    small_batches(spark)
     keyed = docs.select(_text_key().alias("doc_id"), "text")
 
     def chosen() -> DataFrame:
@@ -63,6 +67,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a benchmark item's template go."""
+    small_batches(spark)
 
     def leaked() -> DataFrame:
         rows = docs.select(_text_key().alias("doc_id"), "text")
@@ -84,6 +89,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 ids."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_space=False, end_id=2)
 
 
