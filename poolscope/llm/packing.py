@@ -31,6 +31,8 @@ from poolscope.llm.tokens import encoder
 from poolscope.llm.words import text_slices
 
 SHARD_BYTES = 8_000_000
+#: Text that is encoded at once, beside the shard itself.
+SLICE_BYTES = 250_000
 QUERY_TERMS = 32
 LEAST_CUT = 16
 K1, B = 1.2, 0.75
@@ -48,7 +50,7 @@ def _encoded(vocabulary_path: str, keep_space: bool, end_id: int):
         vocabulary = max(encode.vocabulary, end_id + 1)
         kind = np.uint16 if vocabulary <= 65536 else np.uint32
         parts, lengths, found = [], [], np.zeros(vocabulary, dtype=np.int64)
-        for _, data, offsets in text_slices(texts):
+        for _, data, offsets in text_slices(texts, SLICE_BYTES):
             ids, begins = encode.encode(data, offsets, end_id)
             sizes = np.diff(begins)
             parts.append(ids.astype(kind)), lengths.append(sizes)
@@ -75,7 +77,8 @@ class Index:
         vocabulary = len(idf)
         of = np.repeat(np.arange(len(lengths)), lengths)
         pairs, counts = np.unique(of * vocabulary + ids, return_counts=True)
-        self.size, docs, terms = len(lengths), pairs // vocabulary, (pairs % vocabulary).astype(np.int32)
+        self.size, docs, terms = len(lengths), (pairs // vocabulary).astype(np.int32), (pairs % vocabulary).astype(np.int32)
+        del of, pairs
         weights = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[docs] / mean))
         self.first = np.searchsorted(docs, np.arange(self.size + 1))
         self.terms, self.weights = terms, weights
