@@ -24,7 +24,8 @@ software_and_identity benchmark_scores chirp_metrics chirp_site_reads untyped_at
 history_select checkpoint_update capped_scan latest_docs repeated_run daily_index_counts index_bodies broker_messages
 scheduler_counts quarantined_records json_records affiliation_join affiliation_join_shuffled pool_of_jobs
 index_histogram series_histogram source_gaps schema_violations log_events missing_fields frequent_values
-line_item_documents streamed_documents streamed_logs
+line_item_documents streamed_documents streamed_logs streamed_incremental streamed_index_histogram nested_violations
+example_schema upserted_index sketched_jobs bunched_messages history_run queue_run run_then_state
 """.split()
 
 

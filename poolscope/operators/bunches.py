@@ -8,18 +8,23 @@ written once when all tasks are done, names them: a task that is tried again, or
 from __future__ import annotations
 
 import json
+import sys
 import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from poolscope.session import qualified
 
+# The code itself travels to the Python workers: they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Messages of a bunch (fixed value).
 BUNCH_SIZE = 5000
 REPORT = "received long, sent long, elapsed double, bunches array<struct<file:string,messages:long>>"

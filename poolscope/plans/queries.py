@@ -625,7 +625,7 @@ def _clean_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def nested_violations(spark: SparkSession, sf: str) -> DataFrame:
     examples = schema.infer_schema(_clean_documents(spark, sf))
-    return schema.nested_violations(_nested_documents(sample_base(spark, sf)), examples)
+    return schema.nested_violations(_nested_documents(sample_base(spark, sf)), examples, depth=3)
 
 
 def example_schema(spark: SparkSession, sf: str) -> DataFrame:

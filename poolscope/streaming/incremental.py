@@ -12,10 +12,12 @@ later run would begin anyway, and reports it.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +28,9 @@ from poolscope.functions.identity import source_name
 from poolscope.operators.enrich import row_bound
 from poolscope.operators.incremental import DEFAULT_MINUTES, OVERLAP, RETENTION, history_to_read
 
+# The code itself travels to the Python workers: they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PARTIAL = "schedd string, records long, latest long, start long, event_time timestamp"
 PLACES = "schedd string, last_completion long, records long, expired boolean"
 _STORE = "spark.sql.streaming.stateStore.providerClass"
