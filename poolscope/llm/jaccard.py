@@ -228,6 +228,7 @@ class _Join:
         kind = "doc_id long, n_shingles long, s1 long, s2 long, segment int, counts binary"
         stats = stored(self.docs.mapInArrow(_statistics(self.width), kind), "jaccard-statistics")
         sizes = stats.filter("segment IS NULL").select("doc_id", "n_shingles", "s1", "s2")
+        self.repeated = not sizes.groupBy("doc_id").count().filter("count > 1").isEmpty()
         self.classes = stored(
             sizes.filter("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "jaccard-classes")
         merged = self._components(self.context.broadcast(_sketch(stats)))
@@ -325,8 +326,10 @@ class _Join:
         bits[np.array(slots.toArrow().column(0), dtype=np.int64)] = True  # at most FILTER_BITS rows
         # sets that the filter lets through by chance meet no pair
         sets = self.docs.mapInArrow(_sets(self.width, self.context.broadcast(bits)), "doc_id long, tokens binary")
-        # rows that repeat an id and a text are one set: else each pair would be compared once for every two of its copies
-        sets = stored(sets.repartition("doc_id").dropDuplicates(["doc_id", "tokens"]), "jaccard-sets")
+        if self.repeated:
+            # rows that repeat an id and a text are one set: else each pair would be compared once for every two of its copies
+            sets = sets.repartition("doc_id").dropDuplicates(["doc_id", "tokens"])
+        sets = stored(sets, "jaccard-sets")
         both = named.join(sets.toDF("rep_a", "tokens_a"), "rep_a").join(sets.toDF("rep_b", "tokens_b"), "rep_b")
         both = both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "tokens_a", "tokens_b")
         return both.mapInArrow(_verified(self.percent), "a long, b long")
