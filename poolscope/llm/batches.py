@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolscope.llm.common import stored
+from poolscope.llm.common import give_back_memory, stored
 from poolscope.llm.words import text_slices
 from poolscope.session import scratch_path
 
@@ -123,6 +123,26 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The values' lowest bytes, then their next ones, and so on: high bytes, mostly zero, cost almost nothing once compressed."""
+    values = np.ascontiguousarray(values)
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unpacked(data: pa.Scalar, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as the steps between them."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpacked_keys(data: pa.Scalar) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def ask(
     batches: Batches,
     question: Callable[..., Question],
@@ -147,8 +167,8 @@ def ask(
         ends = np.append(begins[1:], len(keys))
         if not len(used):
             used, begins, ends = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        columns = [keys.astype(np.uint64), *(f.astype(k) for f, k in zip(facts, kinds))]
-        parts = [pa.array([c[b:e].tobytes() for b, e in zip(begins, ends)], pa.binary()) for c in columns]
+        columns = [(keys.astype(np.uint64), _packed_keys), *((f.astype(k), _packed) for f, k in zip(facts, kinds))]
+        parts = [pa.array([pack(c[b:e]) for b, e in zip(begins, ends)], pa.binary()) for c, pack in columns]
         return pa.table([pa.array(used), pa.array([path] * len(used)), *parts],
                         names=["bucket", "path", "keys", *(f"fact{k}" for k in range(len(kinds)))])
 
@@ -156,18 +176,20 @@ def ask(
         for row in rows:
             for path in row.column("path").to_pylist():
                 yield from packed(path, question(path)).to_batches()
+                give_back_memory()
 
     def answered(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        give_back_memory()
         rows = rows.sort_by("path")
-        parts = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("keys")]
+        parts = [_unpacked_keys(x) for x in rows.column("keys")]
         sizes = [len(p) for p in parts]
         facts = tuple(
-            np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column(f"fact{k}")]) for k, kind in enumerate(kinds))
+            np.concatenate([_unpacked(x, kind) for x in rows.column(f"fact{k}")]) for k, kind in enumerate(kinds))
         found, totals = answer(np.concatenate(parts), facts, np.repeat(np.arange(len(sizes)), sizes))
         places = np.concatenate([[0], np.cumsum(sizes)])
         return pa.table({"path": rows.column("path"), "bucket": rows.column("bucket"),
                          **{f"total_{k}": pa.array([n] + [0] * (len(sizes) - 1), pa.int64()) for k, n in zip("ab", totals)},
-                         "answer": pa.array([found[s:e].tobytes() for s, e in zip(places[:-1], places[1:])], pa.binary())})
+                         "answer": pa.array([_packed(found[s:e]) for s, e in zip(places[:-1], places[1:])], pa.binary())})
 
     schema = "bucket long, path string, keys binary" + "".join(f", fact{k} binary" for k in range(len(kinds)))
     if known is None:
@@ -180,13 +202,16 @@ def ask(
 def answers_of(rows: pa.Table, kind: type) -> np.ndarray:
     """A batch's answers in the order of its keys."""
     rows = rows.sort_by("bucket")
-    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column("answer")])
+    return np.concatenate([_unpacked(x, kind) for x in rows.column("answer")])
 
 
 def per_batch(answers: DataFrame, use: Callable[[str, pa.Table], pa.Table], schema: str) -> DataFrame:
     """``use(path, its answers)`` for every batch."""
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        return use(key[0].as_py(), rows)
+        try:
+            return use(key[0].as_py(), rows)
+        finally:
+            give_back_memory()
 
     return answers.drop("total_a", "total_b").groupBy("path").applyInArrow(run, schema)
