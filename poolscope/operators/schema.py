@@ -12,44 +12,51 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from poolscope.functions.rowwise import once
+from poolscope.operators.spread import spread
+from poolscope.session import scratch_path
+
 #: Levels below a document that are looked into; what lies deeper counts as a list or dict.
 DEPTH = 4
 _WALKED = "array<struct<path:string,kind:string,keys:array<string>>>"
+#: What a path can have against a schema, the one that is told first where it has several.
+_VIOLATIONS = ("unknown_key", "incorrect_type", "inconsistent_list", "incorrect_type_in_list", "missing_nested_key")
 
 
 def kind_of(value: Column) -> Column:
     """Kind of a variant; a missing one has none."""
-    written = F.schema_of_variant(value)
-    return (
-        F.when(written.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float")
+    return once(
+        F.schema_of_variant(value),
+        lambda written: F.when(written == "STRING", "str")
         .when(written.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
-        .when(written == "STRING", "str")
-        .when(written == "BOOLEAN", "bool")
-        .when(written.startswith("ARRAY"), "list")
         .when(written.startswith("OBJECT"), "dict")
-        .when(written.isNotNull(), "null")
+        .when(written.startswith("ARRAY"), "list")
+        .when(written == "BOOLEAN", "bool")
+        .when(written.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float")
+        .when(written.isNotNull(), "null"),
     )
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value made once a row."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _walk(value: Column, path: Column, depth: int) -> Column:
     """Path, kind and (of dicts) keys of a value and all that lies below it."""
-    members = F.try_variant_get(value, "$", "map<string,variant>")
-    here = F.array(F.struct(path.alias("path"), kind_of(value).alias("kind"), F.map_keys(members).alias("keys")))
+    none = F.array().cast(_WALKED)
+
+    def members_of(members: Column) -> Column:
+        here = F.array(F.struct(path.alias("path"), kind_of(value).alias("kind"), F.map_keys(members).alias("keys")))
+        if not depth:
+            return here
+        below = F.transform(
+            F.map_entries(members), lambda e: _walk(e["value"], F.concat(path, F.lit("."), e["key"]), depth - 1)
+        )
+        return F.concat(here, F.coalesce(F.flatten(below), none))
+
+    found = once(F.try_variant_get(value, "$", "map<string,variant>"), members_of)
     if not depth:
-        return here
-    below = F.transform(
-        F.map_entries(members), lambda e: _walk(e["value"], F.concat(path, F.lit("."), e["key"]), depth - 1)
-    )
+        return found
     elements = F.transform(
         F.try_variant_get(value, "$", "array<variant>"), lambda v: _walk(v, F.concat(path, F.lit("[]")), depth - 1)
     )
-    none = F.array().cast(_WALKED)
-    return F.concat(here, F.coalesce(F.flatten(below), none), F.coalesce(F.flatten(elements), none))
+    return F.concat(found, F.coalesce(F.flatten(elements), none))
 
 
 def paths_of(body: Column, depth: int = DEPTH) -> Column:
@@ -62,18 +69,16 @@ def paths_of(body: Column, depth: int = DEPTH) -> Column:
 
     def grouped(walked: Column) -> Column:
         def of(path: Column) -> Column:
-            same = F.filter(walked, lambda w: w["path"] == path)
-            keys = F.filter(F.transform(same, lambda w: w["keys"]), lambda k: k.isNotNull())
-            return F.struct(
+            return once(F.filter(walked, lambda w: w["path"] == path), lambda same: F.struct(
                 path.alias("path"),
                 F.array_distinct(F.transform(same, lambda w: w["kind"])).alias("kinds"),
-                F.array_distinct(keys).alias("key_sets"),
-            )
+                F.array_distinct(F.filter(F.transform(same, lambda w: w["keys"]), lambda k: k.isNotNull())).alias("key_sets"),
+            ))
 
         return F.transform(F.array_distinct(F.transform(walked, lambda w: w["path"])), of)
 
     # a list of equal objects is one entry for each path before it is grouped
-    return _once(F.array_distinct(each), grouped)
+    return once(F.array_distinct(each), grouped)
 
 
 def _joined(kinds: Column) -> Column:
@@ -89,7 +94,8 @@ def infer_schema(documents: DataFrame, body: str = "document", depth: int = DEPT
 
     Counted per path and kind before the shuffle, so what is exchanged grows with the schema and not with the documents.
     """
-    walked = documents.select(paths_of(F.col(body), depth).alias("_paths")).filter("_paths IS NOT NULL")
+    # texts that are no JSON object have no paths and give no row; a filter would walk each document a second time
+    walked = spread(documents.select(body)).select(paths_of(F.col(body), depth).alias("_paths"))
     # one row more for each document, without a path, counts the documents in the same pass
     marked = walked.select(F.explode(F.concat(
         F.array(F.struct(F.lit(None).cast("string").alias("path"), F.array(F.lit("dict")).alias("kinds"))),
@@ -161,11 +167,14 @@ def nested_violations(
     Keys missing at the top are fine. The schema (``path``, ``kinds``) is configuration: it is broadcast, and documents stay where
     they are. Only violations are brought together by path.
     """
+    place = scratch_path(documents.sparkSession, "schema-to-check")
+    schema.select("path", "kinds").coalesce(1).write.parquet(place)  # small, and read three times
+    schema = documents.sparkSession.read.parquet(place)
     parent = F.regexp_replace("path", r"(\.[^.]*|\[\])$", "")
     child = F.when(~F.col("path").endswith("[]") & F.col("path").contains("."), F.regexp_extract("path", r"\.([^.]*)$", 1))
     inner = schema.filter(child.isNotNull()).groupBy(parent.alias("path")).agg(F.collect_set(child).alias("_inner"))
     known = schema.select("path", F.col("kinds").alias("_expected")).join(F.broadcast(inner), "path", "left")
-    rows = documents.select(key, F.explode(paths_of(F.col(body), depth)).alias("_p")).select(key, "_p.*")
+    rows = spread(documents.select(key, body)).select(key, F.explode(paths_of(F.col(body), depth)).alias("_p")).select(key, "_p.*")
     rows = rows.withColumn("_parent", parent).join(F.broadcast(known), "path", "left")
     parents = schema.select(F.col("path").alias("_parent"), F.lit(True).alias("_known_parent"))
     rows = rows.join(F.broadcast(parents), "_parent", "left")
@@ -184,11 +193,15 @@ def nested_violations(
         .otherwise("incorrect_type")
     )
     # an unknown key's elements and members have an unknown parent and are passed over; a list of unknown elements is no key
-    wrong_rows = rows.select(key, "path", F.when(~(F.col("_expected").isNull() & in_list), violation).alias("violation"))
+    violation = F.when(~(F.col("_expected").isNull() & in_list), violation)
     absent = F.array_distinct(F.flatten(F.transform("key_sets", lambda keys: F.array_except(F.col("_inner"), keys))))
-    missing = rows.filter("_inner IS NOT NULL").select(key, "path", F.explode(absent).alias("_key")).select(
-        key, F.concat_ws(".", "path", "_key").alias("path"), F.lit("missing_nested_key").alias("violation"))
-    all_rows = wrong_rows.filter("violation IS NOT NULL").unionByName(missing)
-    # a wrong kind in one element of a list comes before the lack in another one
-    rank = F.when(F.col("violation") == "missing_nested_key", 1).otherwise(0)
-    return all_rows.groupBy(key, "path").agg(F.min_by("violation", rank).alias("violation"))
+    # both kinds of rows from one walk; a wrong kind in one element of a list comes before the lack in another one
+    rank = F.coalesce(*[F.when(violation == name, number) for number, name in enumerate(_VIOLATIONS)])
+    here = F.array_compact(F.array(F.when(violation.isNotNull(), F.struct(F.col("path").alias("path"), rank.alias("rank")))))
+    lacking = F.transform(
+        F.when(F.col("_inner").isNotNull(), absent),
+        lambda k: F.struct(F.concat_ws(".", "path", k).alias("path"), F.lit(_VIOLATIONS.index("missing_nested_key")).alias("rank")))
+    nothing = F.array().cast("array<struct<path:string,rank:int>>")
+    all_rows = rows.select(key, F.explode(F.concat(here, F.coalesce(lacking, nothing))).alias("_v")).select(key, "_v.*")
+    first = all_rows.groupBy(key, "path").agg(F.min("rank").alias("_rank"))
+    return first.select(key, "path", F.element_at(F.array(*map(F.lit, _VIOLATIONS)), F.col("_rank") + 1).alias("violation"))
