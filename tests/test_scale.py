@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from poolscope.operators import schema
+from poolscope.operators import schema, sinks
 from poolscope.operators.sinks import document_json
 from poolscope.plans import queries, runs
 from poolscope.plans.runs import RunConfig, run
@@ -64,3 +64,24 @@ def test_documents_are_walked_once(spark):
     assert plan(found).count("from_json") == 1
     mistaken = schema.nested_violations(docs.selectExpr("doc_id", """'{"a":[],"c":["y"],"d":{"e":1}}' AS document"""), known)
     assert {(r.path, r.violation) for r in mistaken.collect()} == {("a", "incorrect_type"), ("d", "unknown_key")}
+
+
+def test_messages_are_stored_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sinks.LINES, "maxRecordsPerFile", 40)
+    messages = spark.range(100).selectExpr("CAST(id AS STRING) AS key", "repeat('x', 50) AS value").coalesce(1)
+    sinks.write_messages(messages, str(tmp_path), 1)
+    assert sorted(spark.read.json(str(tmp_path)).select("key", "value").collect()) == sorted(messages.collect())
+    assert len(list(tmp_path.rglob("part-*.json.gz"))) == 3 and not list(tmp_path.rglob("part-*.json"))
+
+
+def test_large_runs_do_not_shuffle_documents_for_their_index(spark, tmp_path, monkeypatch):
+    found, files = [], []
+    for most in (runs.REBALANCED_ROWS, 10):
+        monkeypatch.setattr(runs, "REBALANCED_ROWS", most)
+        target = tmp_path / f"index-{most}"
+        config = RunConfig(launch_time=LAUNCH_TIME, feed_index=True, index_paths=(str(target),), history_minutes=39 * 24 * 60)
+        run(spark, ads_of(base(spark, 300).repartition(24)), None, config)
+        found.append(sorted(sinks.read_index(spark, str(target)).select("doc_id", "idx_date", "Status", "CoreHr").collect()))
+        files.append(len(list(target.rglob("part-*.parquet"))))
+    assert found[0] == found[1] and len(found[0]) > 200
+    assert files[0] == 1 < files[1]  # of one day, and one of each task
