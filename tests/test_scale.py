@@ -1,6 +1,7 @@
 """Work that must not be done twice, or by few tasks, or on wide rows."""
 
 import json
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -85,3 +86,22 @@ def test_large_runs_do_not_shuffle_documents_for_their_index(spark, tmp_path, mo
         files.append(len(list(target.rglob("part-*.parquet"))))
     assert found[0] == found[1] and len(found[0]) > 200
     assert files[0] == 1 < files[1]  # of one day, and one of each task
+
+
+def test_many_replaced_rows_do_not_shuffle_documents(spark, tmp_path, monkeypatch):
+    twice = base(spark, 300).unionByName(base(spark, 100)).repartition(5)
+    config = RunConfig(launch_time=LAUNCH_TIME, read_only=True, history_minutes=39 * 24 * 60, max_documents=40)
+    names, found = ["doc_id", "Status", "CoreHr"], []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (runs.BROADCAST_ROWS, 0):
+            monkeypatch.setattr(runs, "BROADCAST_ROWS", most)
+            config = replace(config, work_path=str(tmp_path / f"work-{most}"))
+            docs = run(spark, ads_of(twice), None, config)["history"]
+            assert "hashpartitioning" not in docs._jdf.queryExecution().executedPlan().toString()
+            found.append(sorted(docs.select(names).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[0] == found[1] and len(found[0]) == len({r.doc_id for r in found[0]}) > 150
+    assert spark.read.parquet(str(tmp_path / "work-0/history-replaced")).count() > 20
+    assert spark.read.parquet(str(tmp_path / "work-0/history-first")).count() > len(found[0])
