@@ -105,3 +105,13 @@ def test_many_replaced_rows_do_not_shuffle_documents(spark, tmp_path, monkeypatc
     assert found[0] == found[1] and len(found[0]) == len({r.doc_id for r in found[0]}) > 150
     assert spark.read.parquet(str(tmp_path / "work-0/history-replaced")).count() > 20
     assert spark.read.parquet(str(tmp_path / "work-0/history-first")).count() > len(found[0])
+
+
+def test_offline_documents_are_compressed_and_nothing_else_is_stored(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(runs, "scratch_path", lambda _, label: asked.append(label) or str(tmp_path / "scratch"))
+    ads = ads_of(base(spark, 20)).withColumn("JobStatus", F.when(F.col("event_id") % 4 > 0, F.col("JobStatus")))
+    lines = runs.convert_offline(ads, str(tmp_path / "docs"), LAUNCH_TIME)
+    numbers = sorted(int(json.loads(r.value)["GlobalJobId"].split("#")[1].split(".")[0]) for r in lines.collect())
+    assert numbers == [n for n in range(20) if n % 4 > 0 and n != 5]  # 5 is a root task
+    assert not asked and not list((tmp_path / "docs").glob("part-*.txt")) and list((tmp_path / "docs").glob("part-*.txt.gz"))
